@@ -76,7 +76,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
         F.max(broken).alias("broken"),
         (F.max(F.size(vec)) != F.min(F.size(vec))).alias("uneven"),
     )
-    exponent = F.when(F.col("longest") > 0, F.ceil(F.log2("longest"))).otherwise(F.lit(0))
+    exponent = F.when(F.col("longest") > 0, F.ceil(F.round(F.log2("longest"), 6))).otherwise(F.lit(0))
     topics = stage(
         measured.withColumn("grid", F.pow(F.lit(2.0), exponent) * GRID).withColumn(
             "error",
