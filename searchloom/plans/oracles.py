@@ -148,16 +148,29 @@ VEC_POINTS = """points AS (
 
 def density(config: ClusterConfig = ClusterConfig(), doublings: int = 7) -> str:
     """Labels of ``points``; ``doublings`` must cover the longest path in a topic's tree."""
-    steps = ["""path0 AS MATERIALIZED (
-  SELECT topic, a AS x, b AS y, r FROM edges UNION ALL SELECT topic, b, a, r FROM edges
-  UNION ALL SELECT topic, query_id, query_id, 0 FROM points)"""]
+    # Points get small numbers, unique over all topics, to keep the paths compact.
+    steps = ["""places_of AS MATERIALIZED (
+  SELECT topic, query_id, CAST(row_number() OVER (ORDER BY topic, query_id) AS INTEGER) AS i
+  FROM points),
+hops AS (
+  SELECT p.i AS x, q.i AS y, CAST(r AS INTEGER) AS r
+  FROM edges e JOIN places_of p ON p.topic = e.topic AND p.query_id = e.a
+  JOIN places_of q ON q.topic = e.topic AND q.query_id = e.b),
+path0 AS MATERIALIZED (
+  SELECT x, y, r FROM hops UNION ALL SELECT y, x, r FROM hops
+  UNION ALL SELECT i, i, 0 FROM places_of)"""]
     for k in range(doublings):
         steps.append(
             f"""path{k + 1} AS MATERIALIZED (
-  SELECT p.topic, p.x, q.y, min(greatest(p.r, q.r)) AS r
-  FROM path{k} p JOIN path{k} q ON p.topic = q.topic AND p.y = q.x GROUP BY p.topic, p.x, q.y)"""
+  SELECT p.x, q.y, min(greatest(p.r, q.r)) AS r
+  FROM path{k} p JOIN path{k} q ON p.y = q.x GROUP BY p.x, q.y)"""
         )
-    path = f"path{doublings}"
+    steps.append(
+        f"""paths AS MATERIALIZED (
+  SELECT p.topic, p.query_id AS x, q.query_id AS y, r
+  FROM path{doublings} JOIN places_of p ON p.i = x JOIN places_of q ON q.i = y)"""
+    )
+    path = "paths"
     return f"""gaps AS MATERIALIZED (
   SELECT topic, p.query_id AS a, q.query_id AS b,
          round(list_sum(list_transform(list_zip(p.vec, q.vec), lambda z: (z[1] - z[2]) ** 2))
