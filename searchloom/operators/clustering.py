@@ -59,13 +59,17 @@ def finish_clusters(
     queries: DataFrame, members: DataFrame, labels: DataFrame, config: ClusterConfig
 ) -> Clustering:
     """Everything after the labels: cap, validate, describe, assign."""
-    labelled = members.join(labels, ["topic", "query_id"], "left").withColumn(
+    mentions = members.drop("embedding", "topics")
+    labelled = mentions.join(labels, ["topic", "query_id"], "left").withColumn(
         "label",
         F.when(F.col("clusterable"), F.coalesce("label", F.lit(C.NOISE_LABEL))).otherwise(
             C.NOISE_LABEL
         ),
     )
-    capped = stage(cap_clusters(labelled, config), "capped-clusters")
+    # Vectors are needed for members of clusters only; noise is most of a log.
+    in_clusters = labels.where(F.col("label") >= 0)
+    in_clusters = members.where("clusterable").join(in_clusters, ["topic", "query_id"])
+    capped = stage(cap_clusters(in_clusters, config), "capped-clusters")
     measured = measure_clusters(capped)
     central = central_members(capped, measured)
     judged = stage(judge_clusters(measured, central, config), "judged-clusters")
@@ -73,7 +77,7 @@ def finish_clusters(
     metadata_columns = schemas.CLUSTER_METADATA.fieldNames()
 
     assigned = first_topic_wins(
-        queries, places(labelled.drop("embedding", "topics"), capped, judged)
+        queries, places(labelled, capped, judged)
     )
     distances = central.select(
         F.concat("topic", F.lit("_"), F.col("label").cast("string")).alias("cluster"),

@@ -40,6 +40,7 @@ class Prepared:
     distinct: DataFrame
     small: DataFrame
     large: DataFrame | None
+    small_tasks: int
     large_tasks: int
     failed: DataFrame
 
@@ -89,11 +90,15 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
     good = F.col("error").isNull()
     large = F.col("distinct_points") > config.tile_rows
     blocks = F.ceil(F.col("distinct_points") / (config.tile_rows // 2))
-    tiles = (
-        topics.where(good & large)
-        .agg(F.coalesce(F.sum(blocks * (blocks + 1) / 2), F.lit(0)).alias("tiles"))
-        .first()["tiles"]
-    )
+    totals = topics.where(good).agg(
+        F.coalesce(F.sum(F.when(large, blocks * (blocks + 1) / 2)), F.lit(0)).alias("tiles"),
+        F.coalesce(F.sum(F.when(~large, F.col("distinct_points"))), F.lit(0)).alias("small"),
+    ).first()
+    tiles = totals["tiles"]
+
+    def tasks(wanted: float) -> int:
+        return int(min(MAX_TASKS, max(wanted, shuffle_partitions(spark))))
+
     sized = topics.select("topic", "distinct_points", "grid", "error")
     rows = distinct.join(sized, "topic").where(good).drop("holders", "error")
     return Prepared(
@@ -101,15 +106,15 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
         distinct,
         rows.where(~large),
         rows.where(large) if tiles else None,
-        int(min(MAX_TASKS, max(tiles, shuffle_partitions(spark)))),
+        tasks(totals["small"] / config.tile_rows),
+        tasks(tiles),
         topics.where(~good).select("topic", "error"),
     )
 
 
-def _whole_topics(rows: DataFrame) -> DataFrame:
-    return rows.repartition(
-        shuffle_partitions(rows.sparkSession), "topic"
-    ).sortWithinPartitions("topic", "rid")
+def _whole_topics(ready: Prepared) -> DataFrame:
+    """Topics of at most one tile, each within one partition."""
+    return ready.small.repartition(ready.small_tasks, "topic").sortWithinPartitions("topic", "rid")
 
 
 def _solve(table: pa.Table, min_samples: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +142,7 @@ def core_distances(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
         rid = table["rid"].combine_chunks()
         return pa.record_batch([_topic_column(table, len(rid)), rid, pa.array(core)], schema=schema)
 
-    found = _whole_topics(ready.small).mapInArrow(
+    found = _whole_topics(ready).mapInArrow(
         per_group(["topic"], tile), "topic string, rid bigint, core double"
     )
     if ready.large is not None:
@@ -169,7 +174,7 @@ def spanning_edges(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
             schema=schema,
         )
 
-    edges = _whole_topics(ready.small).mapInArrow(
+    edges = _whole_topics(ready).mapInArrow(
         per_group(["topic"], tile), "topic string, a bigint, b bigint, weight double"
     )
     if ready.large is not None:
@@ -255,7 +260,7 @@ def _small_labels(ready: Prepared, config: ClusterConfig) -> DataFrame:
             [_topic_column(table, len(rid)), rid, pa.array(rank[back], pa.int32())], schema=schema
         )
 
-    return _whole_topics(ready.small).mapInArrow(
+    return _whole_topics(ready).mapInArrow(
         per_group(["topic"], tile), "topic string, rid bigint, label int"
     )
 

@@ -62,8 +62,10 @@ def grid_distances(a: np.ndarray, b: np.ndarray, grid: float) -> np.ndarray:
     The grid lies far above the rounding error of the matrix product, so equal
     distances compare equal in whichever tile they are computed.
     """
-    d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :]
-    d -= 2.0 * (a @ b.T)
+    d = a @ b.T
+    d *= -2.0
+    d += (a * a).sum(axis=1)[:, None]
+    d += (b * b).sum(axis=1)[None, :]
     np.maximum(d, 0.0, out=d)
     d /= grid
     return np.rint(d, out=d)

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # One dialect for both directions: quotes are doubled, line breaks may stand
-# inside quotes, only an unquoted empty field is null, and blanks are kept.
+# inside quotes, blanks are kept, and an empty field is null, quoted or not.
+# Words such as "NA" or "null" are ordinary text.
 CSV_DIALECT = {
     "header": True,
     "quote": '"',
     "escape": '"',
     "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
@@ -28,7 +28,7 @@ def read_csv_dbfs(
     **options: object,
 ) -> DataFrame:
     """Read CSV with a header; without a schema every column is a string."""
-    reader = spark.read.options(**{**CSV_DIALECT, "emptyValue": "", "multiLine": True, **options})
+    reader = spark.read.options(**{**CSV_DIALECT, "multiLine": True, **options})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(file_path)
