@@ -27,7 +27,10 @@ class ClusterConfig:
     min_unique_users: int = 3
     cluster_selection_epsilon: float = 0.1
     min_samples: int = 2
+    # Side of the largest distance matrix a task builds (288 MB).
     tile_rows: int = 6000
+    # Vectors of one block of a topic beyond that; a task holds two blocks.
+    block_bytes: int = 128 << 20
 
     def __post_init__(self) -> None:
         if self.min_cluster_size < 2:

@@ -1,44 +1,53 @@
 """Exact neighbour and spanning-tree stages for topics larger than one tile.
 
-A topic of ``n`` points is cut into ``k = ceil(n / half tile)`` blocks by a hash
-of the point id.  Each point is sent to the ``k`` block pairs it takes part in,
-so a task never holds more than a tile, and neither stage emits more than a few
-numbers per point and tile.
+A large topic is cut into ``k`` blocks by a hash of the point id, and each point
+is sent to the ``k`` block pairs it takes part in.  A task holds the two blocks of
+its pair, works through them in tiles of bounded size, and emits a few numbers
+per point.  Every pair of points meets in exactly one task.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from searchloom.config import ClusterConfig
 from searchloom.operators.density.tiles import (
+    crossing_tree,
     grid_distances,
+    lightest_forest,
     matrix,
-    nearest,
+    nearest_apart,
     per_group,
     spanning_tree,
 )
 
 PAIR = ["topic", "i", "j"]
+# A topic gets this many blocks if its size allows, for the sake of parallel work
+# (n blocks make n * (n + 1) / 2 tasks); more only if they would not fit in memory.
+USUAL_BLOCKS = 32
 
 
-def add_blocks(points: DataFrame, tile_rows: int) -> DataFrame:
-    """Add the topic's number of blocks and the block of each point."""
-    blocks = F.ceil(F.col("distinct_points") / F.lit(tile_rows // 2))
-    return points.withColumn("blocks", blocks.cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    )
+def block_count(config: ClusterConfig) -> Column:
+    """Blocks of a topic, from its number of points and dimensions."""
+    points = F.col("distinct_points")
+    fit_tile = F.ceil(points / config.tile_rows)
+    fit_memory = F.ceil(points * F.col("dim") * 8 / config.block_bytes)
+    return F.least(fit_tile, F.greatest(fit_memory, F.lit(USUAL_BLOCKS))).cast("int")
+
 
+def add_blocks(points: DataFrame) -> DataFrame:
+    """Add the block of each point."""
+    return points.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
 
-def pair_up(points: DataFrame, tasks: int, with_diagonal: bool) -> DataFrame:
+
+def pair_up(points: DataFrame, tasks: int) -> DataFrame:
     """Send every point to the block pairs ``i <= j`` it belongs to."""
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = points.withColumn("other", other)
-    if not with_diagonal:
-        paired = paired.where(F.col("other") != F.col("block"))
     return (
-        paired.withColumn("i", F.least("block", "other"))
+        points.withColumn("other", other)
+        .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
         .drop("blocks", "other")
         .repartition(tasks, *PAIR)
@@ -46,68 +55,75 @@ def pair_up(points: DataFrame, tasks: int, with_diagonal: bool) -> DataFrame:
     )
 
 
-def block_core_distances(points: DataFrame, min_samples: int, tasks: int) -> DataFrame:
-    """``(topic, rid, core)``: each tile reports its nearest few, the least of all win.
+def _sides(table: pa.Table) -> list[np.ndarray]:
+    """Places of the points of either block; one list for a block paired with itself."""
+    i, j = table["i"][0].as_py(), table["j"][0].as_py()
+    block = table["block"].to_numpy()
+    return [np.flatnonzero(block == side) for side in ([i] if i == j else [i, j])]
+
+
+def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFrame:
+    """Add ``core``: each task reports its nearest few per point, the least of all win.
 
     ``core`` is a squared distance in grid steps.  Neighbours inside a block are
-    reported by the tile ``(i, i)`` alone, so that none is counted twice.
+    reported by the pair ``(i, i)`` alone, so that none is counted twice.
     """
+    min_samples, tile_rows = config.min_samples, config.tile_rows
     schema = pa.schema(
         [("topic", pa.string()), ("rid", pa.int64()), ("dist", pa.float64()), ("count", pa.int64())]
     )
 
-    def tile(table: pa.Table) -> pa.RecordBatch:
-        rid = table["rid"].to_numpy()
-        copies = table["copies"].to_numpy()
-        block = table["block"].to_numpy()
+    def near(table: pa.Table) -> pa.RecordBatch:
+        rid, copies = table["rid"].to_numpy(), table["copies"].to_numpy()
         x = matrix(table["embedding"])
         grid = table["grid"][0].as_py()
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        found = []
-        if i == j:
-            dist, count = nearest(grid_distances(x, x, grid), copies, min_samples, True)
-            found.append((rid, dist, count))
-        else:
-            left, right = block == i, block == j
-            if left.any() and right.any():
-                d = grid_distances(x[left], x[right], grid)
-                found.append((rid[left], *nearest(d, copies[right], min_samples, False)))
-                found.append((rid[right], *nearest(d.T, copies[left], min_samples, False)))
-        ids = [np.repeat(r, d.shape[1]) for r, d, _ in found]
+        sides = _sides(table)
+        ids, dist, count = [], [], []
+        for own, other in [(sides[0], sides[0])] if len(sides) == 1 else [sides, sides[::-1]]:
+            if len(own) and len(other):
+                d, c = nearest_apart(
+                    x[own], x[other], copies[other], min_samples, grid, tile_rows, own is other
+                )
+                ids.append(np.repeat(rid[own], d.shape[1]))
+                dist.append(d.ravel())
+                count.append(c.ravel())
+        topic = [table["topic"][0].as_py()] * sum(map(len, ids))
+        empty = np.empty(0)
         return pa.record_batch(
             [
-                pa.array([table["topic"][0].as_py()] * sum(map(len, ids)), pa.string()),
-                pa.array(np.concatenate(ids) if ids else [], pa.int64()),
-                pa.array(np.concatenate([d.ravel() for _, d, _ in found]) if ids else [], pa.float64()),
-                pa.array(np.concatenate([c.ravel() for _, _, c in found]) if ids else [], pa.int64()),
+                pa.array(topic, pa.string()),
+                pa.array(np.concatenate([*ids, empty]).astype(np.int64)),
+                pa.array(np.concatenate([*dist, empty])),
+                pa.array(np.concatenate([*count, empty]).astype(np.int64)),
             ],
             schema=schema,
         )
 
-    near = pair_up(points, tasks, with_diagonal=True).mapInArrow(
-        per_group(PAIR, tile), "topic string, rid bigint, dist double, count bigint"
+    reports = pair_up(points, tasks).mapInArrow(
+        per_group(PAIR, near), "topic string, rid bigint, dist double, count bigint"
     )
-    # The fold walks outwards until min_samples other points are covered.
-    start = F.struct(
-        (F.col("copies") - 1).alias("reached"), F.lit(0.0).alias("core")
+    merged = reports.groupBy("topic", "rid").agg(
+        F.sort_array(F.collect_list(F.struct("dist", "count"))).alias("near")
     )
+    # The fold walks outwards until min_samples other points are covered.
+    start = F.struct((F.col("copies") - 1).alias("reached"), F.lit(0.0).alias("core"))
     core = F.aggregate(
         "near",
         start,
         lambda acc, n: F.when(acc["reached"] >= min_samples, acc).otherwise(
-            F.struct(
-                (acc["reached"] + n["count"]).alias("reached"), n["dist"].alias("core")
-            )
+            F.struct((acc["reached"] + n["count"]).alias("reached"), n["dist"].alias("core"))
         ),
     )["core"]
-    merged = near.groupBy("topic", "rid").agg(
-        F.sort_array(F.collect_list(F.struct("dist", "count"))).alias("near")
-    )
     return points.join(merged, ["topic", "rid"]).withColumn("core", core).drop("near")
 
 
-def block_edges(points: DataFrame, tasks: int) -> DataFrame:
-    """Candidate edges: the spanning trees of all block pairs, which contain the topic's own."""
+def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFrame:
+    """Candidate edges: the spanning forests of all block pairs.
+
+    Together these hold the topic's own spanning tree, since an edge that is not
+    the heaviest on any cycle of the whole is not so on a cycle of a part.
+    """
+    tile_rows = config.tile_rows
     schema = pa.schema(
         [
             ("topic", pa.string()),
@@ -118,25 +134,38 @@ def block_edges(points: DataFrame, tasks: int) -> DataFrame:
         ]
     )
 
-    def tile(table: pa.Table) -> pa.RecordBatch:
-        rid = table["rid"].to_numpy()
+    def forest(table: pa.Table) -> pa.RecordBatch:
+        rid, core = table["rid"].to_numpy(), table["core"].to_numpy()
         x = matrix(table["embedding"])
-        d = grid_distances(x, x, table["grid"][0].as_py())
-        a, b, weight, distance = spanning_tree(d, table["core"].to_numpy())
+        grid = table["grid"][0].as_py()
+        sides = [
+            [side[k : k + tile_rows] for k in range(0, len(side), tile_rows)]
+            for side in _sides(table)
+        ]
+        edges = []
+        if len(sides) == 1:
+            for own in sides[0]:
+                edges.append(spanning_tree(grid_distances(x[own], x[own], grid), core[own], rid[own]))
+            pairs = [(p, q) for n, p in enumerate(sides[0]) for q in sides[0][n + 1 :]]
+        else:
+            pairs = [(p, q) for p in sides[0] for q in sides[1]]
+        for p, q in pairs:
+            both = np.concatenate([p, q])
+            edges.append(crossing_tree(grid_distances(x[p], x[q], grid), core[both], rid[both]))
+        found = lightest_forest(edges) if edges else [np.empty(0)] * 4
+        a, b, weight, distance = found
         return pa.record_batch(
             [
                 pa.array([table["topic"][0].as_py()] * len(a), pa.string()),
-                pa.array(rid[a]),
-                pa.array(rid[b]),
+                pa.array(a.astype(np.int64)),
+                pa.array(b.astype(np.int64)),
                 pa.array(weight),
                 pa.array(distance),
             ],
             schema=schema,
         )
 
-    trees = pair_up(points, tasks, with_diagonal=False).mapInArrow(
-        per_group(PAIR, tile),
+    return pair_up(points, tasks).mapInArrow(
+        per_group(PAIR, forest),
         "topic string, a bigint, b bigint, weight double, distance double",
     )
-    # A pair inside one block turns up in the trees of several tiles.
-    return trees.distinct()

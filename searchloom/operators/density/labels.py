@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from searchloom.config import ClusterConfig
 from searchloom.functions.vectors import as_doubles, squared_norm
-from searchloom.operators.density.blocks import add_blocks, block_core_distances, block_edges
+from searchloom.operators.density.blocks import (
+    add_blocks,
+    block_core_distances,
+    block_count,
+    block_edges,
+)
 from searchloom.operators.density.forest import contract, forest_leaves
 from searchloom.operators.density.tiles import (
     core_from_nearest,
@@ -75,6 +80,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
         F.count(F.lit(1)).alias("distinct_points"),
         F.max(length).alias("longest"),
         F.max(broken).alias("broken"),
+        F.max(F.size(vec)).alias("dim"),
         (F.max(F.size(vec)) != F.min(F.size(vec))).alias("uneven"),
     )
     exponent = F.when(F.col("longest") > 0, F.ceil(F.round(F.log2("longest"), 6))).otherwise(F.lit(0))
@@ -84,12 +90,12 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
             F.when(F.col("broken"), "missing or non-finite vectors").when(
                 F.col("uneven"), "vectors of different lengths"
             ),
-        ),
+        ).withColumn("blocks", block_count(config)),
         "topic-sizes",
     )
     good = F.col("error").isNull()
     large = F.col("distinct_points") > config.tile_rows
-    blocks = F.ceil(F.col("distinct_points") / (config.tile_rows // 2))
+    blocks = F.col("blocks")
     totals = topics.where(good).agg(
         F.coalesce(F.sum(F.when(large, blocks * (blocks + 1) / 2)), F.lit(0)).alias("tiles"),
         F.coalesce(F.sum(F.when(~large, F.col("distinct_points"))), F.lit(0)).alias("small"),
@@ -99,7 +105,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
     def tasks(wanted: float) -> int:
         return int(min(MAX_TASKS, max(wanted, shuffle_partitions(spark))))
 
-    sized = topics.select("topic", "distinct_points", "grid", "error")
+    sized = topics.select("topic", "distinct_points", "blocks", "grid", "error")
     rows = distinct.join(sized, "topic").where(good).drop("holders", "error")
     return Prepared(
         points,
@@ -146,8 +152,7 @@ def core_distances(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
         per_group(["topic"], tile), "topic string, rid bigint, core double"
     )
     if ready.large is not None:
-        blocks = add_blocks(ready.large, config.tile_rows)
-        cores = block_core_distances(blocks, min_samples, ready.large_tasks)
+        cores = block_core_distances(add_blocks(ready.large), config, ready.large_tasks)
         found = found.unionByName(
             cores.select("topic", "rid", F.sqrt(F.col("core") * F.col("grid")).alias("core"))
         )
@@ -167,10 +172,10 @@ def spanning_edges(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
 
     def tile(table: pa.Table) -> pa.RecordBatch:
         rid = table["rid"].to_numpy()
-        a, b, weight, _ = spanning_tree(*_solve(table, min_samples))
+        a, b, weight, _ = spanning_tree(*_solve(table, min_samples), rid)
         weight = np.sqrt(weight * table["grid"][0].as_py())
         return pa.record_batch(
-            [_topic_column(table, len(a)), pa.array(rid[a]), pa.array(rid[b]), pa.array(weight)],
+            [_topic_column(table, len(a)), pa.array(a), pa.array(b), pa.array(weight)],
             schema=schema,
         )
 
@@ -190,11 +195,10 @@ def spanning_edges(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
 
 def _large_tree(ready: Prepared, config: ClusterConfig) -> tuple[DataFrame, DataFrame]:
     """Spanning trees of the large topics, and their points without the vectors."""
-    blocks = add_blocks(ready.large, config.tile_rows)
     cored = stage(
-        block_core_distances(blocks, config.min_samples, ready.large_tasks), "core-distances"
+        block_core_distances(add_blocks(ready.large), config, ready.large_tasks), "core-distances"
     )
-    candidates = stage(block_edges(cored, ready.large_tasks), "candidate-edges")
+    candidates = stage(block_edges(cored, config, ready.large_tasks), "candidate-edges")
     tree, _ = contract(candidates)
     return tree, cored.select("topic", "rid", "copies", "grid")
 
@@ -247,11 +251,12 @@ def _small_labels(ready: Prepared, config: ClusterConfig) -> DataFrame:
 
     def tile(table: pa.Table) -> pa.RecordBatch:
         d, core = _solve(table, min_samples)
-        a, b, weight, distance = spanning_tree(d, core)
+        # Rows come sorted by id, so places order the points as their ids do.
+        a, b, weight, distance = spanning_tree(d, core, np.arange(len(core)))
         split = min_split * min_split / table["grid"][0].as_py()
         copies = table["copies"].to_numpy()
         found = leaf_clusters(a, b, weight, distance, copies, min_size, split)
-        # Rows come sorted by id: number clusters by where they are met first.
+        # Number the clusters by where they are met first.
         _, first, back = np.unique(found, return_index=True, return_inverse=True)
         first[: int((found < 0).any())] = -1
         rank = np.argsort(np.argsort(first)) - int((found < 0).any())

@@ -94,6 +94,36 @@ def nearest(
     return dist, count
 
 
+def nearest_apart(
+    x: np.ndarray,
+    others: np.ndarray,
+    copies: np.ndarray,
+    k: int,
+    grid: float,
+    tile_rows: int,
+    same: bool = False,
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`nearest` for more points than one tile takes, tile by tile.
+
+    ``same`` says that ``others`` are the points themselves, each not its own neighbour.
+    """
+    dist, count = [], []
+    for row in range(0, len(x), tile_rows):
+        near_d = np.empty((min(tile_rows, len(x) - row), 0))
+        near_c = np.empty(near_d.shape, dtype=np.int64)
+        for col in range(0, len(others), tile_rows):
+            d = grid_distances(x[row : row + tile_rows], others[col : col + tile_rows], grid)
+            found = nearest(d, copies[col : col + tile_rows], k, same and row == col)
+            near_d = np.hstack([near_d, found[0]])
+            near_c = np.hstack([near_c, found[1]])
+            order = np.argsort(near_d, axis=1, kind="stable")[:, :k]
+            near_d = np.take_along_axis(near_d, order, axis=1)
+            near_c = np.take_along_axis(near_c, order, axis=1)
+        dist.append(near_d)
+        count.append(near_c)
+    return np.vstack(dist), np.vstack(count)
+
+
 def core_from_nearest(
     dist: np.ndarray, count: np.ndarray, copies: np.ndarray, k: int
 ) -> np.ndarray:
@@ -107,35 +137,44 @@ def core_from_nearest(
     return core
 
 
-def spanning_tree(d: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Edges ``(a, b, weight, distance)`` of the minimum spanning tree by mutual reachability."""
-    n = len(core)
+def _grow_tree(
+    ids: np.ndarray,
+    core: np.ndarray,
+    reachable: Callable[[int], tuple[slice, np.ndarray]],
+) -> tuple[np.ndarray, ...]:
+    """Prim's algorithm under the order ``(weight, distance, a, b)`` of the point ids.
+
+    ``reachable`` gives the points a point has edges to, and their distances.
+    """
+    n = len(ids)
     a, b = np.empty(n - 1, dtype=np.int64), np.empty(n - 1, dtype=np.int64)
     weight, distance = np.empty(n - 1), np.empty(n - 1)
     best_w, best_d = np.full(n, np.inf), np.full(n, np.inf)
-    source = np.full(n, n)
+    source = np.zeros(n, dtype=np.int64)
     outside = np.ones(n, dtype=bool)
     current = 0
     outside[0] = False
     for step in range(n - 1):
-        dist = d[current]
-        w = np.maximum(np.maximum(core, core[current]), dist)
-        tied = w == best_w
-        better = w < best_w
+        where, dist = reachable(current)
+        w = np.maximum(np.maximum(core[where], core[current]), dist)
+        seen_w, seen_d, seen_source = best_w[where], best_d[where], source[where]
+        better = w < seen_w
+        tied = w == seen_w
         if tied.any():
-            better |= tied & ((dist < best_d) | ((dist == best_d) & (current < source)))
-        better &= outside
-        np.copyto(best_w, w, where=better)
-        np.copyto(best_d, dist, where=better)
-        source[better] = current
+            nearer = (dist < seen_d) | ((dist == seen_d) & (ids[current] < seen_source))
+            better |= tied & nearer
+        better &= outside[where]
+        np.copyto(seen_w, w, where=better)
+        np.copyto(seen_d, dist, where=better)
+        seen_source[better] = ids[current]
         chosen = np.flatnonzero(best_w == best_w.min())
         if len(chosen) > 1:
             chosen = chosen[best_d[chosen] == best_d[chosen].min()]
         if len(chosen) > 1:
-            ends = source[chosen]
-            chosen = chosen[np.lexsort((np.maximum(ends, chosen), np.minimum(ends, chosen)))]
+            ends, own = source[chosen], ids[chosen]
+            chosen = chosen[np.lexsort((np.maximum(ends, own), np.minimum(ends, own)))]
         v = chosen[0]
-        a[step], b[step] = min(source[v], v), max(source[v], v)
+        a[step], b[step] = min(source[v], ids[v]), max(source[v], ids[v])
         weight[step], distance[step] = best_w[v], best_d[v]
         best_w[v] = np.inf
         outside[v] = False
@@ -143,6 +182,43 @@ def spanning_tree(d: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, ...]:
     return a, b, weight, distance
 
 
+def spanning_tree(d: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Edges ``(a, b, weight, distance)`` of the minimum spanning tree by mutual reachability."""
+    everywhere = slice(0, len(ids))
+    return _grow_tree(ids, core, lambda i: (everywhere, d[i]))
+
+
+def crossing_tree(d: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """As :func:`spanning_tree`, over the edges between the first ``len(d)`` points and the rest."""
+    split = len(d)
+    left, right = slice(0, split), slice(split, len(ids))
+    return _grow_tree(
+        ids, core, lambda i: (right, d[i]) if i < split else (left, d[:, i - split])
+    )
+
+
+def lightest_forest(edges: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """The minimum spanning forest of the given edges, lightest edge first."""
+    a, b, weight, distance = (np.concatenate(column) for column in zip(*edges))
+    order = np.lexsort((b, a, distance, weight))
+    points, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    first, second = ends[: len(a)].tolist(), ends[len(a) :].tolist()
+    parent = list(range(len(points)))
+    kept = []
+    for edge in order.tolist():
+        x, y = first[edge], second[edge]
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        while parent[y] != y:
+            parent[y] = parent[parent[y]]
+            y = parent[y]
+        if x != y:
+            parent[y] = x
+            kept.append(edge)
+    return a[kept], b[kept], weight[kept], distance[kept]
+
+
 def leaf_clusters(
     a: np.ndarray,
     b: np.ndarray,
@@ -152,7 +228,7 @@ def leaf_clusters(
     min_size: int,
     min_split: float,
 ) -> np.ndarray:
-    """Cluster number of each point, -1 for none.
+    """Cluster number of each point, -1 for none; edges name points by their place.
 
     Edges join components from the lightest on.  Where two components of at
     least ``min_size`` points meet, the tree splits; either side that holds no

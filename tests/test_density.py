@@ -1,5 +1,6 @@
 """Density clustering against a direct computation, in one tile and in many blocks."""
 
+import math
 import random
 from dataclasses import replace
 
@@ -9,8 +10,8 @@ import pytest
 from bruteforce import clusters
 
 from searchloom.config import ClusterConfig
-from searchloom.operators.density import cluster_labels
-from searchloom.operators.density.labels import spanning_edges
+from searchloom.operators.density import blocks, cluster_labels
+from searchloom.operators.density.labels import core_distances, spanning_edges
 from searchloom.operators.density.tiles import (
     core_from_nearest,
     grid_distances,
@@ -50,7 +51,7 @@ def solve_one_tile(points, min_size, min_samples, epsilon):
     m = np.array([copies[i] for i in ids])
     d = grid_distances(x, x, GRID)
     core = core_from_nearest(*nearest(d, m, min_samples, True), m, min_samples)
-    a, b, w, dist = spanning_tree(d, core)
+    a, b, w, dist = spanning_tree(d, core, np.arange(len(ids)))
     label = leaf_clusters(a, b, w, dist, m, min_size, epsilon * epsilon / GRID)
     found = {}
     for i, k in zip(ids, label):
@@ -116,9 +117,18 @@ TOPICS = {
 }
 
 
-@pytest.mark.parametrize("tile_rows", [6000, 40])
-def test_spark_equals_direct(spark, tile_rows):
-    config = replace(ClusterConfig(), tile_rows=tile_rows)
+# One tile; a block per tile; blocks of several tiles each.
+LAYOUTS = [{}, {"tile_rows": 40}, {"tile_rows": 12, "block_bytes": 1000}]
+
+
+@pytest.fixture
+def two_usual_blocks(monkeypatch):
+    monkeypatch.setattr(blocks, "USUAL_BLOCKS", 2)
+
+
+@pytest.mark.parametrize("layout", LAYOUTS, ids=str)
+def test_spark_equals_direct(spark, layout, two_usual_blocks):
+    config = replace(ClusterConfig(), **layout)
     labels, failed = cluster_labels(to_frame(spark, TOPICS), config)
     found = found_sets(labels)
     for topic, points in TOPICS.items():
@@ -127,10 +137,10 @@ def test_spark_equals_direct(spark, tile_rows):
     assert failed.count() == 0
 
 
-def test_tree_weight_does_not_depend_on_blocks(spark):
+def test_tree_weight_does_not_depend_on_blocks(spark, two_usual_blocks):
     topics = {k: TOPICS[k] for k in ("plain", "tight")}
-    for tile_rows in (6000, 50):
-        config = replace(ClusterConfig(), tile_rows=tile_rows)
+    for layout in LAYOUTS:
+        config = replace(ClusterConfig(), **layout)
         edges = spanning_edges(to_frame(spark, topics), config).toPandas()
         for topic, points in topics.items():
             total = edges[edges.topic == topic].weight.sum()
@@ -146,6 +156,25 @@ def test_topics_with_bad_vectors_become_noise_alone(spark):
     assert {r.topic for r in labels.select("topic").distinct().collect()} == {"good"}
 
 
+def test_core_distances_in_blocks(spark, two_usual_blocks):
+    topics = {k: TOPICS[k] for k in ("copies", "ties", "tight")}
+    expected = None
+    for min_samples in (1, 4):
+        for layout in LAYOUTS:
+            config = replace(ClusterConfig(), min_samples=min_samples, **layout)
+            found = core_distances(to_frame(spark, topics), config).toPandas()
+            found = found.sort_values(["topic", "query_id"]).reset_index(drop=True).round(9)
+            if layout:
+                assert found.equals(expected)
+            expected = found
+        for row in expected.itertuples():
+            points = topics[row.topic]
+            others = sorted(
+                math.dist(points[row.query_id], v) for i, v in points.items() if i != row.query_id
+            )
+            assert row.core == pytest.approx(others[min_samples - 1], abs=1e-5)
+
+
 def test_groups_may_span_batches():
     from searchloom.operators.density.tiles import per_group
 
