@@ -17,9 +17,25 @@ def require_columns(df: DataFrame, names: tuple[str, ...] = ("query",)) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
-def long_enough(min_length: int) -> Column:
-    """Length of the raw text in code points; null is never long enough."""
-    return F.coalesce(F.length("query") >= min_length, F.lit(False))
+def cheap_filters(raw: DataFrame, config: LoadConfig) -> tuple[list, list]:
+    """Names and conditions of the filters before and after the language filter.
+
+    Length is that of the raw text in code points.  A null text fails the first.
+    """
+    before, after = [], []
+    if config.min_length > 0:
+        before.append((C.DROP_LENGTH, F.length("query") >= config.min_length))
+    before.append((C.DROP_BLANK, ~is_blank("query")))
+    before.append((C.DROP_NO_ALNUM, has_alnum("query")))
+    if config.require_topics and "topic" in raw.columns:
+        after.append((C.DROP_TOPICS, has_topic("topic")))
+    return before, after
+
+
+def _first_failed(reason: Column, checks: list) -> Column:
+    for name, passes in checks:
+        reason = reason.when(~F.coalesce(passes, F.lit(False)), name)
+    return reason
 
 
 def mark_drops(
@@ -27,28 +43,17 @@ def mark_drops(
 ) -> DataFrame:
     """Add ``drop_reason``, the first filter a row fails, and ``query_clean`` for the rest."""
     require_columns(raw)
-    reason = F.when(F.lit(False), F.lit(None).cast("string"))
-    if config.min_length > 0:
-        reason = reason.when(~long_enough(config.min_length), C.DROP_LENGTH)
-    reason = reason.when(is_blank("query"), C.DROP_BLANK)
-    reason = reason.when(~has_alnum("query"), C.DROP_NO_ALNUM)
-    marked = raw
+    before, after = cheap_filters(raw, config)
+    nothing = F.when(F.lit(False), F.lit(None).cast("string"))
+    passed = F.col("drop_reason").isNull()
+    marked = raw.withColumn("drop_reason", _first_failed(nothing, before))
+    marked = marked.withColumn("query_clean", F.when(passed, clean_query("query")))
+    reason = F.when(~passed, F.col("drop_reason"))
     if config.language_filter and model is not None:
-        # Only texts that got this far are cleaned and scored.
-        marked = marked.withColumn("drop_reason", reason)
-        passed = F.col("drop_reason").isNull()
-        marked = marked.withColumn("query_clean", F.when(passed, clean_query("query")))
+        # Only texts that got this far are scored.
         marked = detect_language(marked, model, text_col="query_clean", cleaned=True)
-        reason = F.when(~passed, F.col("drop_reason")).when(
-            F.col("language") != C.DEFAULT_LANGUAGE, C.DROP_LANGUAGE
-        )
-    if config.require_topics and "topic" in raw.columns:
-        reason = reason.when(~has_topic("topic"), C.DROP_TOPICS)
-    marked = marked.withColumn("drop_reason", reason)
-    if "query_clean" not in marked.columns:
-        passed = F.col("drop_reason").isNull()
-        marked = marked.withColumn("query_clean", F.when(passed, clean_query("query")))
-    return marked
+        reason = reason.when(F.col("language") != C.DEFAULT_LANGUAGE, C.DROP_LANGUAGE)
+    return marked.withColumn("drop_reason", _first_failed(reason, after))
 
 
 def user_column(df: DataFrame) -> Column:
@@ -73,7 +78,17 @@ def filter_queries(
     raw: DataFrame, config: LoadConfig = LoadConfig(), model: LanguageModel | None = None
 ) -> DataFrame:
     """Apply all filters in order and keep the first row of each cleaned text."""
-    kept = mark_drops(raw, config, model).where(F.col("drop_reason").isNull())
+    require_columns(raw)
+    before, after = cheap_filters(raw, config)
+    kept = raw
+    # The topic test is the cheapest and can be left to the scan; which rows are
+    # kept does not depend on the order of the tests.
+    for _, passes in [*after, *before]:
+        kept = kept.where(passes)
+    kept = kept.withColumn("query_clean", clean_query("query"))
+    if config.language_filter and model is not None:
+        kept = detect_language(kept, model, text_col="query_clean", cleaned=True)
+        kept = kept.where(F.col("language") == C.DEFAULT_LANGUAGE)
     topics = (
         parse_topics("topic")
         if "topic" in raw.columns

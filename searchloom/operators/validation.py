@@ -9,32 +9,60 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from searchloom import constants as C
 from searchloom.config import ClusterConfig
 from searchloom.functions.vectors import distance, mean_vector, norm, sum_vector, unit
+from searchloom.session import stage
 
 CLUSTER = ["topic", "label"]
+# Clusters of more members than this, or than one in MOST_HOT of all members, are salted.
+HOT_ROWS = 1_000_000
+MOST_HOT = 10_000
 # Distances are compared after rounding: sums over partitions may differ in the last bits.
 DIGITS = 12
 
 
+def _salt(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spread the members of very large clusters, and repeat their facts as often.
+
+    The list of such clusters is broadcast: each holds more than one in
+    ``MOST_HOT`` of all members, so it cannot have more than ``MOST_HOT`` rows.
+    """
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    share = max(HOT_ROWS, math.ceil(total / MOST_HOT))
+    salts = F.ceil(F.col("size") / share).cast("int")
+    hot = sizes.where(F.col("size") > share).select(*CLUSTER, salts.alias("salts"))
+    salted = members.join(F.broadcast(hot), CLUSTER, "left").withColumn(
+        "salt", F.pmod(F.xxhash64("query_id"), F.coalesce("salts", F.lit(1))).cast("int")
+    )
+    repeated = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return salted.drop("salts"), repeated
+
+
 def cap_clusters(labelled: DataFrame, config: ClusterConfig = ClusterConfig()) -> DataFrame:
     """Keep the members nearest to the centroid, at most ``max_cluster_size`` per cluster.
 
     ``labelled`` is ``(topic, label, query_id, pos, user, embedding)``.  Members
     beyond the cap are dropped.  ``rank`` is the order of the members: by
-    distance where the cap cut, by place in the log elsewhere.  Spark limits
-    each group to the cap before the shuffle, so a cluster of any size sends only
-    that many rows per task.
+    distance where the cap cut, by place in the log elsewhere.  Very large
+    clusters are cut down to the cap in salted parts before the parts meet.
     """
     members = labelled.where(F.col("label") >= 0)
-    sizes = members.groupBy(*CLUSTER).agg(
-        F.count(F.lit(1)).alias("size"), mean_vector(F.col("embedding")).alias("centroid")
+    sizes = stage(
+        members.groupBy(*CLUSTER).agg(
+            F.count(F.lit(1)).alias("size"), mean_vector(F.col("embedding")).alias("centroid")
+        ),
+        "cluster-sizes",
     )
+    members, sizes = _salt(members, sizes)
     cut = F.col("size") > config.max_cluster_size
     away = F.when(cut, F.round(distance(F.col("embedding"), F.col("centroid")), DIGITS))
-    order = Window.partitionBy(*CLUSTER).orderBy("away", "query_id", "pos")
+    order = ["away", "query_id", "pos"]
+    in_part = Window.partitionBy(*CLUSTER, "salt").orderBy(*order)
+    in_cluster = Window.partitionBy(*CLUSTER).orderBy(*order)
     return (
-        members.join(sizes, CLUSTER)
+        members.join(sizes, [*CLUSTER, "salt"])
         .withColumn("away", F.coalesce(away, F.lit(0.0)))
-        .withColumn("rank", F.row_number().over(order))
+        .withColumn("rank", F.row_number().over(in_part))
+        .where(F.col("rank") <= config.max_cluster_size)
+        .withColumn("rank", F.row_number().over(in_cluster))
         .where(F.col("rank") <= config.max_cluster_size)
         .select(*CLUSTER, "query_id", "pos", "user", "embedding", "rank")
     )

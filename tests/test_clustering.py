@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 
 from searchloom.config import ClusterConfig
+from searchloom.operators import validation
 from searchloom.operators.clustering import (
     cluster_queries,
     finish_clusters,
@@ -98,6 +99,19 @@ def test_reasons(spark):
     assert len(found) == len(rows) and set(found.values()) == {"T_0", "T_-1"}
 
 
+def test_large_clusters_are_capped_in_salted_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, f"q{i}", f"u{i}", ["T"], [1.0, rng.random(), rng.random()]) for i in range(200)]
+    labels = [("T", i, 0 if i < 150 else 1) for i in range(200)]
+    expected = finish(spark, rows, labels, min_cluster_similarity=0.0)
+    expected = sorted(map(str, expected.assignments.collect()))
+    assert len(expected) == 10
+    monkeypatch.setattr(validation, "HOT_ROWS", 20)
+    monkeypatch.setattr(validation, "MOST_HOT", 50)
+    salted = finish(spark, rows, labels, min_cluster_similarity=0.0)
+    assert sorted(map(str, salted.assignments.collect())) == expected
+
+
 def test_cap_of_one_has_no_cohesion(spark):
     rows = [(i, q, u, ["T"], v) for i, q, u, v in HAND_MADE]
     result = finish(spark, rows, [("T", i, 0) for i in range(1, 7)], max_cluster_size=1)
