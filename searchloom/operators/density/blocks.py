@@ -17,8 +17,9 @@ from searchloom.operators.density.tiles import (
     crossing_tree,
     grid_distances,
     lightest_forest,
+    keep_nearest,
     matrix,
-    nearest_apart,
+    nearest,
     per_group,
     spanning_tree,
 )
@@ -55,11 +56,22 @@ def pair_up(points: DataFrame, tasks: int) -> DataFrame:
     )
 
 
-def _sides(table: pa.Table) -> list[np.ndarray]:
-    """Places of the points of either block; one list for a block paired with itself."""
+def tile_pairs(table: pa.Table, tile_rows: int) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """Which places to compare with which, tile by tile, and whether they are the same.
+
+    A block paired with itself is compared within, two blocks only across.
+    """
     i, j = table["i"][0].as_py(), table["j"][0].as_py()
     block = table["block"].to_numpy()
-    return [np.flatnonzero(block == side) for side in ([i] if i == j else [i, j])]
+
+    def cut(side: int) -> list[np.ndarray]:
+        places = np.flatnonzero(block == side)
+        return [places[k : k + tile_rows] for k in range(0, len(places), tile_rows)]
+
+    if i != j:
+        return [(p, q, False) for p in cut(i) for q in cut(j)]
+    own = cut(i)
+    return [(p, q, p is q) for n, p in enumerate(own) for q in own[n:]]
 
 
 def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFrame:
@@ -74,27 +86,27 @@ def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -
     )
 
     def near(table: pa.Table) -> pa.RecordBatch:
-        rid, copies = table["rid"].to_numpy(), table["copies"].to_numpy()
+        copies = table["copies"].to_numpy()
         x = matrix(table["embedding"])
         grid = table["grid"][0].as_py()
-        sides = _sides(table)
-        ids, dist, count = [], [], []
-        for own, other in [(sides[0], sides[0])] if len(sides) == 1 else [sides, sides[::-1]]:
-            if len(own) and len(other):
-                d, c = nearest_apart(
-                    x[own], x[other], copies[other], min_samples, grid, tile_rows, own is other
-                )
-                ids.append(np.repeat(rid[own], d.shape[1]))
-                dist.append(d.ravel())
-                count.append(c.ravel())
-        topic = [table["topic"][0].as_py()] * sum(map(len, ids))
-        empty = np.empty(0)
+        best = (
+            np.full((len(x), min_samples), np.inf),
+            np.zeros((len(x), min_samples), dtype=np.int64),
+        )
+        for p, q, same in tile_pairs(table, tile_rows):
+            d = grid_distances(x[p], x[q], grid)
+            keep_nearest(best, p, nearest(d, copies[q], min_samples, same))
+            if not same:
+                keep_nearest(best, q, nearest(d.T, copies[p], min_samples, False))
+        found = np.isfinite(best[0])
+        rid = np.repeat(table["rid"].to_numpy(), found.sum(axis=1))
+        topic = [table["topic"][0].as_py()] * len(rid)
         return pa.record_batch(
             [
                 pa.array(topic, pa.string()),
-                pa.array(np.concatenate([*ids, empty]).astype(np.int64)),
-                pa.array(np.concatenate([*dist, empty])),
-                pa.array(np.concatenate([*count, empty]).astype(np.int64)),
+                pa.array(rid),
+                pa.array(best[0][found]),
+                pa.array(best[1][found]),
             ],
             schema=schema,
         )
@@ -138,20 +150,14 @@ def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFra
         rid, core = table["rid"].to_numpy(), table["core"].to_numpy()
         x = matrix(table["embedding"])
         grid = table["grid"][0].as_py()
-        sides = [
-            [side[k : k + tile_rows] for k in range(0, len(side), tile_rows)]
-            for side in _sides(table)
-        ]
         edges = []
-        if len(sides) == 1:
-            for own in sides[0]:
-                edges.append(spanning_tree(grid_distances(x[own], x[own], grid), core[own], rid[own]))
-            pairs = [(p, q) for n, p in enumerate(sides[0]) for q in sides[0][n + 1 :]]
-        else:
-            pairs = [(p, q) for p in sides[0] for q in sides[1]]
-        for p, q in pairs:
-            both = np.concatenate([p, q])
-            edges.append(crossing_tree(grid_distances(x[p], x[q], grid), core[both], rid[both]))
+        for p, q, same in tile_pairs(table, tile_rows):
+            d = grid_distances(x[p], x[q], grid)
+            if same:
+                edges.append(spanning_tree(d, core[p], rid[p]))
+            else:
+                both = np.concatenate([p, q])
+                edges.append(crossing_tree(d, core[both], rid[both]))
         found = lightest_forest(edges) if edges else [np.empty(0)] * 4
         a, b, weight, distance = found
         return pa.record_batch(

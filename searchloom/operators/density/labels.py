@@ -32,7 +32,7 @@ from searchloom.session import shuffle_partitions, stage
 # Squared distances are rounded to this fraction of the largest squared length
 # (a power of two, hence exact to divide by): far above the rounding error of a
 # matrix product, far below any distance of interest.
-GRID = 2.0**-40
+GRID = 2.0**-36
 MAX_TASKS = 20000
 RANK_RANGES = 1024
 

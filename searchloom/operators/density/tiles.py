@@ -57,71 +57,53 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def grid_distances(a: np.ndarray, b: np.ndarray, grid: float) -> np.ndarray:
-    """Squared distances in whole multiples of ``grid``.
+    """Squared distances in whole multiples of ``grid``, a power of two.
 
-    The grid lies far above the rounding error of the matrix product, so equal
-    distances compare equal in whichever tile they are computed.
+    One matrix product: the squared lengths ride along as two more columns.  The
+    grid lies far above its rounding error, so equal distances compare equal in
+    whichever tile they are computed.
     """
-    d = a @ b.T
-    d *= -2.0
-    d += (a * a).sum(axis=1)[:, None]
-    d += (b * b).sum(axis=1)[None, :]
-    np.maximum(d, 0.0, out=d)
-    d /= grid
-    return np.rint(d, out=d)
+    length_a = (a * a).sum(axis=1)[:, None] / grid
+    length_b = (b * b).sum(axis=1)[:, None] / grid
+    left = np.hstack([a * (-2.0 / grid), length_a, np.ones_like(length_a)])
+    right = np.hstack([b, np.ones_like(length_b), length_b])
+    d = left @ right.T
+    np.rint(d, out=d)
+    return np.maximum(d, 0.0, out=d)
 
 
 def nearest(
     d: np.ndarray, copies: np.ndarray, k: int, skip_diagonal: bool
 ) -> tuple[np.ndarray, np.ndarray]:
-    """For each row of ``d`` its ``k`` smallest distances and how many points lie at each."""
-    k = min(k, d.shape[1] - skip_diagonal)
-    dist = np.empty((len(d), k))
-    count = np.empty((len(d), k), dtype=np.int64)
+    """For each row of ``d`` its ``k`` smallest distances and how many points lie at each.
+
+    Rows with fewer neighbours are filled up with infinite distances.
+    """
+    dist = np.full((len(d), k), np.inf)
+    count = np.zeros((len(d), k), dtype=np.int64)
     for start in range(0, len(d), STRIP_ROWS):
-        strip = d[start : start + STRIP_ROWS]
+        strip = np.array(d[start : start + STRIP_ROWS], order="C")
+        rows = np.arange(len(strip))
         if skip_diagonal:
-            strip = strip.copy()
-            rows = np.arange(len(strip))
             strip[rows, start + rows] = np.inf
-        if k == 0:
-            continue
-        part = np.argpartition(strip, k - 1, axis=1)[:, :k]
-        values = np.take_along_axis(strip, part, axis=1)
-        order = np.argsort(values, axis=1, kind="stable")
-        dist[start : start + STRIP_ROWS] = np.take_along_axis(values, order, axis=1)
-        count[start : start + STRIP_ROWS] = copies[np.take_along_axis(part, order, axis=1)]
+        for step in range(min(k, d.shape[1] - skip_diagonal)):
+            place = strip.argmin(axis=1)
+            dist[start + rows, step] = strip[rows, place]
+            count[start + rows, step] = copies[place]
+            strip[rows, place] = np.inf
     return dist, count
 
 
-def nearest_apart(
-    x: np.ndarray,
-    others: np.ndarray,
-    copies: np.ndarray,
-    k: int,
-    grid: float,
-    tile_rows: int,
-    same: bool = False,
-) -> tuple[np.ndarray, np.ndarray]:
-    """:func:`nearest` for more points than one tile takes, tile by tile.
-
-    ``same`` says that ``others`` are the points themselves, each not its own neighbour.
-    """
-    dist, count = [], []
-    for row in range(0, len(x), tile_rows):
-        near_d = np.empty((min(tile_rows, len(x) - row), 0))
-        near_c = np.empty(near_d.shape, dtype=np.int64)
-        for col in range(0, len(others), tile_rows):
-            d = grid_distances(x[row : row + tile_rows], others[col : col + tile_rows], grid)
-            found = nearest(d, copies[col : col + tile_rows], k, same and row == col)
-            near_d = np.hstack([near_d, found[0]])
-            near_c = np.hstack([near_c, found[1]])
-            order = np.argsort(near_d, axis=1, kind="stable")[:, :k]
-            near_d = np.take_along_axis(near_d, order, axis=1)
-            near_c = np.take_along_axis(near_c, order, axis=1)
-        dist.append(near_d)
-        count.append(near_c)
-    return np.vstack(dist), np.vstack(count)
+def keep_nearest(
+    best: tuple[np.ndarray, np.ndarray], rows: np.ndarray, found: tuple[np.ndarray, np.ndarray]
+) -> None:
+    """Merge newly found neighbours of some rows into the best known ones."""
+    k = best[0].shape[1]
+    dist = np.hstack([best[0][rows], found[0]])
+    count = np.hstack([best[1][rows], found[1]])
+    order = np.argsort(dist, axis=1, kind="stable")[:, :k]
+    best[0][rows] = np.take_along_axis(dist, order, axis=1)
+    best[1][rows] = np.take_along_axis(count, order, axis=1)
 
 
 def core_from_nearest(
@@ -131,7 +113,7 @@ def core_from_nearest(
     core = np.zeros(len(copies))
     reached = copies - 1
     for step in range(dist.shape[1]):
-        open_ = reached < k
+        open_ = (reached < k) & np.isfinite(dist[:, step])
         core[open_] = dist[open_, step]
         reached = reached + count[:, step]
     return core

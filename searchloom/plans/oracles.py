@@ -174,7 +174,7 @@ path0 AS MATERIALIZED (
     return f"""gaps AS MATERIALIZED (
   SELECT topic, p.query_id AS a, q.query_id AS b,
          round(list_sum(list_transform(list_zip(p.vec, q.vec), lambda z: (z[1] - z[2]) ** 2))
-               * 2.0 ** 40) AS d
+               * 2.0 ** 36) AS d
   FROM points p JOIN points q USING (topic) WHERE p.query_id < q.query_id),
 near AS (
   SELECT topic, x, d, row_number() OVER (PARTITION BY topic, x ORDER BY d) AS n,
@@ -195,7 +195,7 @@ reach AS (
     SELECT topic, x, r, row_number() OVER (PARTITION BY topic, x ORDER BY r) AS n
     FROM {path} WHERE x <> y) WHERE n = {config.min_cluster_size - 1}),
 all_splits AS (
-  SELECT t.*, t.w >= {config.cluster_selection_epsilon} ** 2 * 2.0 ** 40 AS wide
+  SELECT t.*, t.w >= {config.cluster_selection_epsilon} ** 2 * 2.0 ** 36 AS wide
   FROM tree t JOIN reach ra ON ra.topic = t.topic AND ra.x = t.a AND ra.r < t.r
   JOIN reach rb ON rb.topic = t.topic AND rb.x = t.b AND rb.r < t.r),
 splits AS (
@@ -435,9 +435,9 @@ def report_sql() -> str:
     )
 
 
-TREE_WEIGHTS = """SELECT topic, round(sqrt(w * 2.0 ** -40), 5) AS weight, count(*) AS n_edges
+TREE_WEIGHTS = """SELECT topic, round(sqrt(w * 2.0 ** -36), 5) AS weight, count(*) AS n_edges
 FROM tree GROUP BY ALL"""
-CORE_DISTANCES = """SELECT topic, x AS query_id, round(sqrt(c * 2.0 ** -40), 5) AS core FROM core"""
+CORE_DISTANCES = """SELECT topic, x AS query_id, round(sqrt(c * 2.0 ** -36), 5) AS core FROM core"""
 LABELS = "SELECT topic, query_id, label FROM labels"
 EPSILON_CLUSTERS = ClusterConfig(min_cluster_size=2, cluster_selection_epsilon=1.2)
 VECTORS = with_(VEC_POINTS, density())

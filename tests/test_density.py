@@ -20,7 +20,7 @@ from searchloom.operators.density.tiles import (
     spanning_tree,
 )
 
-GRID = 2.0**-40
+GRID = 2.0**-36
 
 
 def cloud(seed, n, dim, groups=4, spread=0.05, copies=0, lattice=False):
