@@ -56,17 +56,18 @@ def pair_up(points: DataFrame, tasks: int) -> DataFrame:
     )
 
 
-def tile_pairs(table: pa.Table, tile_rows: int) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+def tile_pairs(table: pa.Table, rows: int) -> list[tuple[np.ndarray, np.ndarray, bool]]:
     """Which places to compare with which, tile by tile, and whether they are the same.
 
-    A block paired with itself is compared within, two blocks only across.
+    A block paired with itself is compared within, two blocks only across.  Tiles
+    of half the usual side fit the caches better, and leave room for a transpose.
     """
     i, j = table["i"][0].as_py(), table["j"][0].as_py()
     block = table["block"].to_numpy()
 
     def cut(side: int) -> list[np.ndarray]:
         places = np.flatnonzero(block == side)
-        return [places[k : k + tile_rows] for k in range(0, len(places), tile_rows)]
+        return [places[k : k + rows] for k in range(0, len(places), rows)]
 
     if i != j:
         return [(p, q, False) for p in cut(i) for q in cut(j)]
@@ -80,7 +81,7 @@ def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -
     ``core`` is a squared distance in grid steps.  Neighbours inside a block are
     reported by the pair ``(i, i)`` alone, so that none is counted twice.
     """
-    min_samples, tile_rows = config.min_samples, config.tile_rows
+    min_samples, side = config.min_samples, config.tile_rows // 2
     schema = pa.schema(
         [("topic", pa.string()), ("rid", pa.int64()), ("dist", pa.float64()), ("count", pa.int64())]
     )
@@ -93,7 +94,7 @@ def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -
             np.full((len(x), min_samples), np.inf),
             np.zeros((len(x), min_samples), dtype=np.int64),
         )
-        for p, q, same in tile_pairs(table, tile_rows):
+        for p, q, same in tile_pairs(table, side):
             d = grid_distances(x[p], x[q], grid)
             keep_nearest(best, p, nearest(d, copies[q], min_samples, same))
             if not same:
@@ -135,7 +136,7 @@ def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFra
     Together these hold the topic's own spanning tree, since an edge that is not
     the heaviest on any cycle of the whole is not so on a cycle of a part.
     """
-    tile_rows = config.tile_rows
+    side = config.tile_rows // 2
     schema = pa.schema(
         [
             ("topic", pa.string()),
@@ -151,7 +152,7 @@ def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFra
         x = matrix(table["embedding"])
         grid = table["grid"][0].as_py()
         edges = []
-        for p, q, same in tile_pairs(table, tile_rows):
+        for p, q, same in tile_pairs(table, side):
             d = grid_distances(x[p], x[q], grid)
             if same:
                 edges.append(spanning_tree(d, core[p], rid[p]))

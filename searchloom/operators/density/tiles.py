@@ -131,35 +131,36 @@ def _grow_tree(
     n = len(ids)
     a, b = np.empty(n - 1, dtype=np.int64), np.empty(n - 1, dtype=np.int64)
     weight, distance = np.empty(n - 1), np.empty(n - 1)
+    # Best edge into each point outside the tree; a weight of nan marks those inside,
+    # since nothing compares with it.
     best_w, best_d = np.full(n, np.inf), np.full(n, np.inf)
     source = np.zeros(n, dtype=np.int64)
-    outside = np.ones(n, dtype=bool)
+    best_w[0] = np.nan
     current = 0
-    outside[0] = False
     for step in range(n - 1):
         where, dist = reachable(current)
-        w = np.maximum(np.maximum(core[where], core[current]), dist)
         seen_w, seen_d, seen_source = best_w[where], best_d[where], source[where]
+        w = np.maximum(dist, core[where])
+        np.maximum(w, core[current], out=w)
         better = w < seen_w
-        tied = w == seen_w
-        if tied.any():
-            nearer = (dist < seen_d) | ((dist == seen_d) & (ids[current] < seen_source))
-            better |= tied & nearer
-        better &= outside[where]
+        tied = np.flatnonzero(w == seen_w)
+        if len(tied):
+            new, old = dist[tied], seen_d[tied]
+            nearer = (new < old) | ((new == old) & (ids[current] < seen_source[tied]))
+            better[tied[nearer]] = True
         np.copyto(seen_w, w, where=better)
         np.copyto(seen_d, dist, where=better)
-        seen_source[better] = ids[current]
-        chosen = np.flatnonzero(best_w == best_w.min())
+        np.copyto(seen_source, ids[current], where=better)
+        chosen = np.flatnonzero(best_w == np.fmin.reduce(best_w))
         if len(chosen) > 1:
             chosen = chosen[best_d[chosen] == best_d[chosen].min()]
-        if len(chosen) > 1:
-            ends, own = source[chosen], ids[chosen]
-            chosen = chosen[np.lexsort((np.maximum(ends, own), np.minimum(ends, own)))]
+            if len(chosen) > 1:
+                ends, own = source[chosen], ids[chosen]
+                chosen = chosen[np.lexsort((np.maximum(ends, own), np.minimum(ends, own)))]
         v = chosen[0]
         a[step], b[step] = min(source[v], ids[v]), max(source[v], ids[v])
         weight[step], distance[step] = best_w[v], best_d[v]
-        best_w[v] = np.inf
-        outside[v] = False
+        best_w[v] = np.nan
         current = v
     return a, b, weight, distance
 
@@ -174,8 +175,9 @@ def crossing_tree(d: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.
     """As :func:`spanning_tree`, over the edges between the first ``len(d)`` points and the rest."""
     split = len(d)
     left, right = slice(0, split), slice(split, len(ids))
+    columns = np.ascontiguousarray(d.T)
     return _grow_tree(
-        ids, core, lambda i: (right, d[i]) if i < split else (left, d[:, i - split])
+        ids, core, lambda i: (right, d[i]) if i < split else (left, columns[i - split])
     )
 
 
