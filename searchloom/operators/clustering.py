@@ -11,7 +11,7 @@ from searchloom.config import ClusterConfig
 from searchloom.operators.assignment import first_topic_wins, places
 from searchloom.operators.density import cluster_labels
 from searchloom.operators.embedding import add_embeddings_to_df
-from searchloom.operators.topics import explode_topics, size_topics
+from searchloom.operators.topics import explode_topics, size_topics, with_topic_lists
 from searchloom.operators.validation import (
     cap_clusters,
     central_members,
@@ -115,6 +115,7 @@ def cluster_queries(
     if config is not None and params:
         raise ValueError("give either a config or single parameters")
     config = config or ClusterConfig(**params)
+    queries = with_topic_lists(queries)
     embedded = queries if embeddings is None else add_embeddings_to_df(queries, embeddings)
     members = topic_members(embedded, config)
     labels, failed = label_members(members, config)

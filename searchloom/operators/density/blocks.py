@@ -44,14 +44,21 @@ def add_blocks(points: DataFrame) -> DataFrame:
 
 
 def pair_up(points: DataFrame, tasks: int) -> DataFrame:
-    """Send every point to the block pairs ``i <= j`` it belongs to."""
+    """Send every point to the block pairs ``i <= j`` it belongs to.
+
+    Pairs are numbered and dealt out in turn; hashing them would leave some
+    tasks with several pairs and others with none.
+    """
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    i, j = F.col("i"), F.col("j")
+    number = i * F.col("blocks") - (i * (i - 1) / 2).cast("int") + (j - i)
     return (
         points.withColumn("other", other)
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .drop("blocks", "other")
-        .repartition(tasks, *PAIR)
+        .withColumn("task", F.pmod(F.xxhash64("topic") % tasks + number, F.lit(tasks)).cast("int"))
+        .repartitionById(tasks, "task")
+        .drop("blocks", "other", "task")
         .sortWithinPartitions(*PAIR, "rid")
     )
 

@@ -7,16 +7,20 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from searchloom.functions.text import parse_topics_no_blanks
 
 
+def with_topic_lists(queries: DataFrame) -> DataFrame:
+    """Split topics given as comma-separated text, without blanks; leave lists alone."""
+    if isinstance(queries.schema["topics"].dataType, T.StringType):
+        return queries.withColumn("topics", parse_topics_no_blanks("topics"))
+    return queries
+
+
 def explode_topics(queries: DataFrame) -> DataFrame:
     """Put every query into every topic it lists, once per mention.
 
     ``pos`` is the place of the mention in the list and ``first_pos`` that of
     the first mention of the same topic.  Queries without topics disappear.
-    Topics given as comma-separated text are split first, without blanks.
     """
-    if isinstance(queries.schema["topics"].dataType, T.StringType):
-        queries = queries.withColumn("topics", parse_topics_no_blanks("topics"))
-    return queries.select("*", F.posexplode("topics").alias("pos", "topic")).withColumn(
+    return with_topic_lists(queries).select("*", F.posexplode("topics").alias("pos", "topic")).withColumn(
         "first_pos", (F.array_position("topics", F.col("topic")) - 1).cast("int")
     )
 

@@ -194,6 +194,16 @@ def test_a_topic_with_bad_vectors_does_not_stop_the_others(spark):
     assert [r.topic for r in result.failed_topics.collect()] == ["bad"]
 
 
+def test_topics_as_text(spark):
+    rows = [(i, q, u, ", ".join(t), v) for i, q, u, t, v in planted()]
+    text = spark.createDataFrame(rows, EMBEDDED.replace("topics array<string>", "topics string"))
+    lists = spark.createDataFrame(planted(), EMBEDDED)
+    found = cluster_queries(text).clustered
+    assert found.schema["topics"].dataType.simpleString() == "array<string>"
+    expected = cluster_queries(lists).clustered
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_parameters_are_checked(spark):
     queries = spark.createDataFrame(planted(), EMBEDDED)
     with pytest.raises(TypeError, match="min_size"):

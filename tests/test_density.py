@@ -10,7 +10,7 @@ import pytest
 from bruteforce import clusters
 
 from searchloom.config import ClusterConfig
-from searchloom.operators.density import blocks, cluster_labels
+from searchloom.operators.density import blocks, cluster_labels, labels
 from searchloom.operators.density.labels import core_distances, spanning_edges
 from searchloom.operators.density.tiles import (
     core_from_nearest,
@@ -175,6 +175,20 @@ def test_core_distances_in_blocks(spark, two_usual_blocks):
             assert row.core == pytest.approx(others[min_samples - 1], abs=1e-5)
 
 
+def test_clusters_are_numbered_across_ranges(spark, monkeypatch):
+    monkeypatch.setattr(labels, "RANK_RANGES", 7)
+    rng = random.Random(4)
+    ids = {t: sorted(rng.sample(range(10**9), 60)) for t in "ab"}
+    ids["one"] = [5]
+    rows = [(t, i, f"{t}{i}") for t, members in ids.items() for i in members]
+    rows += [(t, i + 1, leaf) for t, i, leaf in rows]
+    found = labels.number_clusters(spark.createDataFrame(rows, "topic string, rid bigint, leaf string"))
+    numbers = {(r.topic, r.rid): r.label for r in found.collect()}
+    assert len(numbers) == len(rows)
+    for t, members in ids.items():
+        assert [numbers[t, i] for i in members] == list(range(len(members)))
+
+
 def test_groups_may_span_batches():
     from searchloom.operators.density.tiles import per_group
 
