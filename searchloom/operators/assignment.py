@@ -48,22 +48,27 @@ def places(members: DataFrame, capped: DataFrame, judged: DataFrame) -> DataFram
     return clustered.unionByName(unlabelled)
 
 
-def first_topic_wins(queries: DataFrame, placed: DataFrame) -> DataFrame:
+def first_topic_wins(
+    queries: DataFrame, placed: DataFrame, distinct_texts: bool = False
+) -> DataFrame:
     """One row per ``(query, topics)``, at its place of highest priority.
 
     Places are reduced per query id before any text is shuffled; rows with the
-    same text and topics under different ids are reduced afterwards.
+    same text and topics under different ids are reduced afterwards, unless the
+    texts are known to be distinct.
     """
     best = placed.groupBy("query_id").agg(
         F.min(F.struct(*PRIORITY, "cluster")).alias("place")
     )
     rows = queries.select("query_id", "query", "user", "topics").join(best, "query_id")
-    first = F.min_by(F.struct("query_id", "user", "place"), "place").alias("first")
-    return rows.groupBy("query", "topics").agg(first).select(
-        F.col("first.query_id").alias("query_id"),
+    if not distinct_texts:
+        first = F.min_by(F.struct("query_id", "user", "place"), "place").alias("first")
+        rows = rows.groupBy("query", "topics").agg(first).select("query", "topics", "first.*")
+    return rows.select(
+        "query_id",
         "query",
-        F.col("first.user").alias("user"),
+        "user",
         "topics",
-        F.col("first.place.cluster").alias("cluster"),
-        F.col("first.place.rank").alias("member_rank"),
+        F.col("place.cluster").alias("cluster"),
+        F.col("place.rank").alias("member_rank"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -56,7 +56,11 @@ def label_members(members: DataFrame, config: ClusterConfig) -> tuple[DataFrame,
 
 
 def finish_clusters(
-    queries: DataFrame, members: DataFrame, labels: DataFrame, config: ClusterConfig
+    queries: DataFrame,
+    members: DataFrame,
+    labels: DataFrame,
+    config: ClusterConfig,
+    distinct_texts: bool = False,
 ) -> Clustering:
     """Everything after the labels: cap, validate, describe, assign."""
     mentions = members.drop("embedding", "topics")
@@ -76,9 +80,8 @@ def finish_clusters(
     described = describe_clusters(judged, queries)
     metadata_columns = schemas.CLUSTER_METADATA.fieldNames()
 
-    assigned = first_topic_wins(
-        queries, places(labelled, capped, judged)
-    )
+    placed = places(labelled, capped, judged)
+    assigned = first_topic_wins(queries, placed, distinct_texts)
     distances = central.select(
         F.concat("topic", F.lit("_"), F.col("label").cast("string")).alias("cluster"),
         "query_id",
@@ -96,6 +99,19 @@ def finish_clusters(
     )
 
 
+def cluster_embedded(
+    queries: DataFrame, embedded: DataFrame, config: ClusterConfig, distinct_texts: bool = False
+) -> Clustering:
+    """As :func:`cluster_queries`, with vectors ``(query_id, user, topics, embedding)`` at hand.
+
+    Texts are taken from ``queries`` only for the results.
+    """
+    members = topic_members(embedded, config)
+    labels, failed = label_members(members, config)
+    result = finish_clusters(queries, members, labels, config, distinct_texts)
+    return replace(result, failed_topics=failed)
+
+
 def cluster_queries(
     queries: DataFrame,
     embeddings: DataFrame | None = None,
@@ -114,12 +130,6 @@ def cluster_queries(
         raise TypeError(f"unknown clustering parameters: {sorted(unknown)}")
     if config is not None and params:
         raise ValueError("give either a config or single parameters")
-    config = config or ClusterConfig(**params)
     queries = with_topic_lists(queries)
     embedded = queries if embeddings is None else add_embeddings_to_df(queries, embeddings)
-    members = topic_members(embedded, config)
-    labels, failed = label_members(members, config)
-    result = finish_clusters(queries, members, labels, config)
-    return Clustering(
-        result.clustered, result.metadata, result.rejected, result.assignments, failed
-    )
+    return cluster_embedded(queries, embedded, config or ClusterConfig(**params))
