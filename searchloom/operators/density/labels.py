@@ -47,6 +47,7 @@ class Prepared:
     large: DataFrame | None
     small_tasks: int
     large_tasks: int
+    any_shared: bool
     failed: DataFrame
 
 
@@ -80,6 +81,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
         F.count(F.lit(1)).alias("distinct_points"),
         F.max(length).alias("longest"),
         F.max(broken).alias("broken"),
+        F.max(F.col("holders") > 1).alias("shared"),
         F.max(F.size(vec)).alias("dim"),
         (F.max(F.size(vec)) != F.min(F.size(vec))).alias("uneven"),
     )
@@ -99,6 +101,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
     totals = topics.where(good).agg(
         F.coalesce(F.sum(F.when(large, blocks * (blocks + 1) / 2)), F.lit(0)).alias("tiles"),
         F.coalesce(F.sum(F.when(~large, F.col("distinct_points"))), F.lit(0)).alias("small"),
+        F.coalesce(F.max("shared"), F.lit(False)).alias("shared"),
     ).first()
     tiles = totals["tiles"]
 
@@ -114,6 +117,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
         rows.where(large) if tiles else None,
         tasks(totals["small"] / config.tile_rows),
         tasks(tiles),
+        totals["shared"],
         topics.where(~good).select("topic", "error"),
     )
 
@@ -272,6 +276,8 @@ def _small_labels(ready: Prepared, config: ClusterConfig) -> DataFrame:
 
 def _to_queries(found: DataFrame, ready: Prepared) -> DataFrame:
     """From distinct vectors back to all queries that hold them."""
+    if not ready.any_shared:
+        return found.withColumnRenamed("rid", "query_id")
     shared = ready.distinct.where(F.col("holders") > 1).select("topic", "embedding", "rid")
     others = (
         ready.points.join(shared, ["topic", "embedding"])
@@ -291,5 +297,5 @@ def cluster_labels(
     found = _small_labels(ready, config)
     if ready.large is not None:
         found = found.unionByName(_large_labels(ready, config))
-    found = stage(found, "labels")
-    return _to_queries(found, ready), ready.failed
+    labels = _to_queries(stage(found, "labels"), ready)
+    return (stage(labels, "query-labels") if ready.any_shared else labels), ready.failed

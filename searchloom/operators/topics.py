@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from searchloom.functions.text import parse_topics_no_blanks
+from searchloom.session import stage
 
 
 def with_topic_lists(queries: DataFrame) -> DataFrame:
@@ -36,6 +37,7 @@ def topic_sizes(members: DataFrame) -> DataFrame:
 
 def size_topics(members: DataFrame, min_cluster_size: int) -> DataFrame:
     """Add the topic's size and first mention, and whether it is large enough to cluster."""
-    return members.join(topic_sizes(members), "topic").withColumn(
+    facts = stage(topic_sizes(members), "topic-facts")
+    return members.join(facts, "topic").withColumn(
         "clusterable", F.col("topic_rows") >= min_cluster_size
     )
