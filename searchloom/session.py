@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Temporary folders of local sessions without a shared one, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def local_session(cores: int | str = 8, name: str = "searchloom") -> SparkSession:
     """A session on this machine, for tests and benchmarks."""
@@ -34,9 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not (spark.conf.get("spark.master", "") or "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="searchloom-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="searchloom-")
+    return _LOCAL_DIRS[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -176,5 +176,21 @@ def test_run_without_clusters_and_without_rows(spark, tmp_path):
         run_pipeline(df=log, batchsize=3)
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+class Settings:
+    """A session reduced to what the choice of a folder looks at."""
+
+    def __init__(self, **settings):
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+        self.conf = self.sparkContext = self
+        self.applicationId = "app"
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(Settings(spark_checkpoint_dir="s3://a/b/", spark_master="yarn")) == "s3://a/b"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Settings(spark_master="yarn"))
+    local = Settings(spark_master="local[2]")
+    assert shared_dir(local) == shared_dir(local)
