@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Temporary folders of local sessions without a shared one, by application.
-_LOCAL_DIRS: dict[str, str] = {}
+# Where sessions of this one machine write stages if nothing else is set.
+LOCAL_SHARED_DIR = "file:///tmp/checkpoints"
 
 
 def local_session(cores: int | str = 8, name: str = "searchloom") -> SparkSession:
@@ -21,6 +20,7 @@ def local_session(cores: int | str = 8, name: str = "searchloom") -> SparkSessio
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores if str(cores).isdigit() else 8))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", LOCAL_SHARED_DIR)
         .getOrCreate()
     )
 
@@ -28,19 +28,17 @@ def local_session(cores: int | str = 8, name: str = "searchloom") -> SparkSessio
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; a cluster
-    without it is refused, since a machine-local folder would be lost with its
-    machine.
+    A ``local`` session has one machine, whose folder all its tasks share, so it
+    may go without the setting; a cluster without it is refused, since a
+    machine-local folder would be lost with its machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_DIRS:
-        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="searchloom-")
-    return _LOCAL_DIRS[application]
+    master = spark.conf.get("spark.master", "") or ""
+    if master == "local" or master.startswith("local["):
+        return LOCAL_SHARED_DIR
+    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
