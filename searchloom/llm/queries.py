@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from searchloom.llm.chat import format_chats, read_chats
+from searchloom.llm.decontaminate import contaminated
 from searchloom.llm.packing import pack_documents
 from searchloom.llm.secrets import BASE, find_secrets, span_text
 from searchloom.llm.tables import hex_sha, read
@@ -27,6 +28,20 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        hex_sha(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
