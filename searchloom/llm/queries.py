@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from searchloom.llm.chat import format_chats, read_chats
 from searchloom.llm.decontaminate import contaminated
+from searchloom.llm.near_dedup import near_duplicates
 from searchloom.llm.packing import pack_documents
 from searchloom.llm.secrets import BASE, find_secrets, span_text
 from searchloom.llm.tables import hex_sha, read
@@ -42,6 +43,12 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their 4-word shingles."""
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4).drop("row_no")
+
+
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
