@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_RANDOM = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -104,7 +104,7 @@ class Words:
 
     def __init__(self, block: Block, words: np.ndarray, fold: np.ndarray = SAME):
         self.starts, self.ends, self.first = block.runs(words[block.data])
-        self.hashes = span_hashes(_RANDOM[fold[block.data]], self.starts, self.ends)
+        self.hashes = span_hashes(BYTE_VALUES[fold[block.data]], self.starts, self.ends)
         self.counts = np.diff(self.first)
 
     def windows(self, k: int) -> np.ndarray:

@@ -10,6 +10,7 @@ from searchloom.llm.chat import format_chats, read_chats
 from searchloom.llm.decontaminate import contaminated
 from searchloom.llm.near_dedup import near_duplicates
 from searchloom.llm.packing import pack_documents
+from searchloom.llm.rules import COUNTS, quality_rules
 from searchloom.llm.secrets import BASE, find_secrets, span_text
 from searchloom.llm.tables import hex_sha, read
 from searchloom.llm.token_counts import count_tokens
@@ -91,6 +92,13 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, and whether rules and trees keep it."""
+    judged = quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept", "score")
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2,048 tokens."""
