@@ -10,6 +10,7 @@ from searchloom.llm.chat import format_chats, read_chats
 from searchloom.llm.decontaminate import contaminated
 from searchloom.llm.near_dedup import near_duplicates
 from searchloom.llm.packing import pack_documents
+from searchloom.llm.quality import classify_quality
 from searchloom.llm.rules import COUNTS, quality_rules
 from searchloom.llm.secrets import BASE, find_secrets, span_text
 from searchloom.llm.tables import hex_sha, read
@@ -66,6 +67,12 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
