@@ -18,9 +18,9 @@ def collect_bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
     )
-    rows = words.toPandas()
+    rows = words.toArrow()
     bitmap = np.zeros(1 << (bits - 6), np.int64)
-    bitmap[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
+    bitmap[rows["word"].to_numpy()] = rows["mask"].to_numpy()
     return bitmap.view(np.uint64)
 
 

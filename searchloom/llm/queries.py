@@ -13,6 +13,7 @@ from searchloom.llm.packing import pack_documents
 from searchloom.llm.quality import classify_quality
 from searchloom.llm.rules import COUNTS, quality_rules
 from searchloom.llm.secrets import BASE, find_secrets, span_text
+from searchloom.llm.substrings import deduplicate_substrings
 from searchloom.llm.tables import hex_sha, read
 from searchloom.llm.token_counts import count_tokens
 
@@ -79,6 +80,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), word_tokenizer())
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 13 words that an earlier one holds."""
+    left = deduplicate_substrings(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", hex_sha(F.col("kept_text")).alias("kept_sha256"))
+
+
 @query
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that tries to break the template, formatted and read back."""
