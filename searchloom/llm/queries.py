@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from searchloom.llm.chat import format_chats, read_chats
 from searchloom.llm.decontaminate import contaminated
 from searchloom.llm.near_dedup import near_duplicates
+from searchloom.llm import pii
 from searchloom.llm.packing import pack_documents
 from searchloom.llm.quality import classify_quality
 from searchloom.llm.rules import COUNTS, quality_rules
@@ -74,6 +75,23 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = read(spark, sf_dir, "documents")
+    found = pii.find_personal(docs, pii.fit_personal(docs))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)],
+        hex_sha(pii.span_text("base")).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
