@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def collect_bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -29,3 +32,21 @@ def bits_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = int(len(bitmap)).bit_length() - 1 + 6
     at = hashes >> np.uint64(64 - bits)
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+
+def split_by(rows: DataFrame, mark: Column, bitmap: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """The rows whose mark the bitmap lacks, and those whose mark it may hold."""
+    pointer = rows.sparkSession.sparkContext.broadcast(bitmap)
+    name = f"mark_{uuid.uuid4().hex}"
+    marked = rows.select("*", mark.alias(name))
+
+    def part(wanted: bool) -> DataFrame:
+        def pick(batches):
+            for batch in batches:
+                marks = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
+                chosen = batch.filter(pa.array(bits_set(pointer.value, marks) == wanted))
+                yield chosen.select(range(batch.num_columns - 1))
+
+        return marked.mapInArrow(pick, rows.schema)
+
+    return part(False), part(True)

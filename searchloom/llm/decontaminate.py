@@ -6,9 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from searchloom.llm.bitmap import bits_set, collect_bitmap
+from searchloom.llm.bitmap import bits_set, collect_bitmap, split_by
 from searchloom.llm.blocks import LOWER, Words, blocks, byte_class
-from searchloom.llm.tables import id_text, numbered
+from searchloom.llm.tables import id_text, numbered, text_key
 from searchloom.session import stage
 
 WINDOW = 10
@@ -73,7 +73,7 @@ def window_shingles(windows: DataFrame, k: int) -> DataFrame:
 
 
 def scan(docs: DataFrame, marked, lengths: list[tuple[int, int]]) -> DataFrame:
-    """``doc_id, n_words, runs``, one row per document.
+    """``doc_id, text_key, n_words, runs``, one row per document.
 
     ``marked`` flags hashes of item shingles; it may flag others too.  ``lengths`` holds
     the shingle length and the fewest successive shingles a window of it has.  A run is
@@ -86,7 +86,7 @@ def scan(docs: DataFrame, marked, lengths: list[tuple[int, int]]) -> DataFrame:
         bitmap = pointer.value
         for batch in batches:
             counts, run_of, run_at, run_k, run_words = [], [], [], [], []
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(2)):
                 words = Words(block, _ALNUM, LOWER)
                 counts.append(words.counts)
                 text = None
@@ -128,14 +128,15 @@ def scan(docs: DataFrame, marked, lengths: list[tuple[int, int]]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(n_words, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), runs),
                 ],
-                names=["doc_id", "n_words", "runs"],
+                names=["doc_id", "text_key", "n_words", "runs"],
             )
 
-    schema = "doc_id bigint, n_words bigint, runs array<struct<at:int,k:int,words:array<string>>>"
-    return docs.mapInArrow(find, schema)
+    schema = "doc_id bigint, text_key bigint, n_words bigint, runs array<struct<at:int,k:int,words:array<string>>>"
+    return docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(find, schema)
 
 
 def _cut(begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +178,7 @@ def contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: ``row_no, doc_id, n_words, n_hit, spans, items``.
+    """One row per row of ``docs``: ``row_no, doc_id, text_key, n_words, n_hit, spans, items``.
 
     A window is ``window`` consecutive words of an item, or all words of a shorter one;
     words are runs of ASCII letters and digits (lower-cased) and of characters beyond
@@ -298,10 +299,11 @@ def contaminated(
         ),
         lambda s: s["n"],
     )
-    out = scanned.select("row_no", "doc_id", "n_words").join(named, "row_no", "left")
+    out = scanned.select("row_no", "doc_id", "text_key", "n_words").join(named, "row_no", "left")
     return out.select(
         "row_no",
         "doc_id",
+        "text_key",
         "n_words",
         F.coalesce(F.when(F.col("spans").isNotNull(), covered), F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"),
@@ -311,3 +313,19 @@ def contaminated(
 
 def _joined(words: str, at: str, k: str):
     return F.array_join(F.slice(words, F.col(at) + 1, F.col(k)), " ")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
+    """``docs`` without the rows that hold a window of an item; all columns stay as they are.
+
+    Only rows that a bitmap of fixed size marks are joined and moved.
+    """
+    hit = contaminated(docs, items, window).where(F.col("n_hit") > 0)
+    hit = stage(hit.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct(), "contaminated")
+    marked = collect_bitmap(hit.select(F.xxhash64("hit_id", "hit_key").alias("hash")), bitmap_bits)
+    key = text_key(docs["text"].cast("string"))
+    clean, maybe = split_by(docs, F.xxhash64(docs["doc_id"].cast("bigint"), key), marked)
+    same = maybe["doc_id"].cast("bigint").eqNullSafe(hit["hit_id"]) & (
+        text_key(maybe["text"].cast("string")) == hit["hit_key"]
+    )
+    return clean.unionByName(maybe.join(hit, same, "left_anti"))

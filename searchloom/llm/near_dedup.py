@@ -9,11 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from searchloom.llm.bitmap import bits_set, collect_bitmap
+from searchloom.llm.bitmap import bits_set, collect_bitmap, split_by
 from searchloom.llm.blocks import LOWER, Block, Words, blocks, byte_class
 from searchloom.llm.components import components
 from searchloom.llm.setsketch import estimate, registers
-from searchloom.llm.tables import id_text, numbered
+from searchloom.llm.tables import id_text, numbered, text_key
 from searchloom.session import stage
 
 BANDS, ROWS = 24, 4
@@ -24,6 +24,7 @@ SALTS = 32
 BITMAP_BITS = 24
 
 _SPACE = byte_class("space")
+_HEAD = "head_of_group_" + "f" * 8  # a name no table has
 
 
 def shingle_sets(block: Block, k: int) -> list[np.ndarray]:
@@ -46,7 +47,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n, node, bands``: set size, digest of the set, and band values of its registers.
+    """``doc_id, text_key, n, node, bands``: set size, digest of the set, and band values of its registers.
 
     A band's value is its ``rows`` registers of 16 bits as one number, so it is exact.
     Empty sets have neither node nor bands.
@@ -57,7 +58,7 @@ def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     def sketch(batches):
         for batch in batches:
             n, node, values, counts = [], [], [np.zeros((0, bands), np.int64)], []
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(2)):
                 sets = shingle_sets(block, k)
                 n += [len(s) for s in sets]
                 node += [_digest(s) if len(s) else None for s in sets]
@@ -71,14 +72,16 @@ def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(n, pa.int64()),
                     pa.array(node, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values).ravel())),
                 ],
-                names=["doc_id", "n", "node", "bands"],
+                names=["doc_id", "text_key", "n", "node", "bands"],
             )
 
-    return docs.mapInArrow(sketch, "doc_id bigint, n bigint, node binary, bands array<bigint>")
+    schema = "doc_id bigint, text_key bigint, n bigint, node binary, bands array<bigint>"
+    return docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(sketch, schema)
 
 
 def sets_of(docs: DataFrame, k: int, marked: np.ndarray) -> DataFrame:
@@ -232,13 +235,13 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: ``row_no, doc_id, n_shingles, component_id, kept``.
+    """One row per row of ``docs``: ``row_no, doc_id, text_key, n_shingles, component_id, kept, group``.
 
     A document's set holds its distinct shingles of ``shingle`` words (ASCII letters
     lower-cased, words between white space); with fewer words, the sequence of all.
     Documents are linked if ``100 * intersection >= share * union``; ``component_id`` is
-    the smallest id that can be reached, ``kept`` marks the rows that bear it.  Null and
-    empty texts have an empty set and are linked with nothing.  Rows with one set are one
+    the smallest id that can be reached, ``kept`` marks the rows that bear it, ``group`` names
+    groups of two rows or more.  Null and empty texts have an empty set and are linked with nothing.  Rows with one set are one
     node, so copies cost one row each; rows that share an id are told apart; null ids come
     last, and a component of null ids alone has a null ``component_id`` and keeps its
     rows.  Columns other than id and text are not read.
@@ -309,26 +312,53 @@ def near_duplicates(
         partners *= 4
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("rows"))
     salted = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    by_root = least.select("root", "component_id", salted)
+    by_root = least.where(F.col("rows") > 1).select("root", "component_id", salted)
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    table = (
-        named.withColumn("salt", salt).join(by_root, ["root", "salt"]).select("node", "first_id", "copies", "component_id")
-    )
-    # a node without copies or links is its own component; only the others are looked up
-    table = table.where((F.col("copies") > 1) | ~F.col("component_id").eqNullSafe(F.col("first_id")))
+    table = named.withColumn("salt", salt).join(by_root, ["root", "salt"]).select("node", "root", "component_id", salted)
+    # rows alone in their group are not in the table
     looked_up = drawn.withColumn("salt", F.pmod(F.xxhash64("row_no"), F.lit(SALTS)).cast("int")).join(
-        table.select("node", "component_id", F.lit(True).alias("grouped"), salted), ["node", "salt"], "left"
+        table, ["node", "salt"], "left"
     )
-    component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("root").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return looked_up.select(
         "row_no",
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        F.col("root").alias("group"),
+    )
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, share: int = SHARE, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id (null last), then text key.
+
+    Only rows of groups, as a bitmap of fixed size tells them, are joined and moved.
+    Rows without words stay.  All columns stay as they are.
+    """
+    found = near_duplicates(docs, shingle, share)
+    grouped = stage(found.where(F.col("group").isNotNull()).select("group", "doc_id", "text_key"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("first")
+    heads = grouped.groupBy("group").agg(first).select("first.doc_id", "first.text_key", F.lit(True).alias("head"))
+    members = grouped.select("doc_id", "text_key").distinct()
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
+    decided = members.join(heads, same(members, heads), "left").select(
+        members["doc_id"].alias("group_id"), members["text_key"].alias("group_key"), F.coalesce("head", F.lit(False)).alias("head")
+    )
+    mark = F.xxhash64("doc_id", "text_key")
+    marked = collect_bitmap(members.select(mark.alias("hash")), bitmap_bits)
+    doc_id, key = docs["doc_id"].cast("bigint"), text_key(docs["text"].cast("string"))
+    alone, maybe = split_by(docs, F.xxhash64(doc_id, key), marked)
+    here = maybe["doc_id"].cast("bigint").eqNullSafe(decided["group_id"]) & (
+        text_key(maybe["text"].cast("string")) == decided["group_key"]
     )
+    met = maybe.join(decided, here, "left").select(*[maybe[c] for c in docs.columns], decided["head"].alias(_HEAD))
+    free = met.where(F.col(_HEAD).isNull()).drop(_HEAD)
+    kept = met.where(F.col(_HEAD)).drop(_HEAD).dropDuplicates(["doc_id", "text"])
+    return alone.unionByName(free).unionByName(kept)
 
 
 def _hub_pairs(shared: DataFrame, part: int) -> DataFrame:

@@ -98,6 +98,18 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
     return kept.mapInArrow(score, f"{kinds}, quality_score double")
 
 
+def keep_quality(docs: DataFrame, model: QualityModel, least: float = LEAST, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` the model gives at least ``least``; all columns stay as they are."""
+    pointer = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(pointer.value.score_column(batch.column(at)) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def classify_quality(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least: float = LEAST, label_col: str = "quality"
 ) -> DataFrame:

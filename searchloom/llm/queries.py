@@ -50,7 +50,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share four fifths of their 4-word shingles."""
-    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4).drop("row_no")
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4).drop("row_no", "text_key", "group")
 
 
 @query
