@@ -125,17 +125,20 @@ def battery(rows: DataFrame) -> DataFrame:
     size, n = F.length("alphabet").cast("double"), F.size("chars").cast("double")
     values = F.transform("chars", lambda c: (F.instr(F.col("alphabet"), c) - 1).cast("double"))
     rows = rows.withColumn("values", values).withColumn("n", n).withColumn("size", size)
-    rows = rows.where(F.col("n") >= 8)
+    # written out, or every test would spell the values anew
+    rows = stage(rows.where(F.col("n") >= 8), "secret-candidates")
     values, n, size = F.col("values"), F.col("n"), F.col("size")
 
     def total(array: Column) -> Column:
         return F.aggregate(array, F.lit(0.0), lambda s, x: s + x)
 
-    def squared_count(v: Column) -> Column:
-        count = F.size(F.filter("values", lambda x: x == v.cast("double"))).cast("double")
-        return count * count
+    def meet(s: Column, x: Column) -> Column:
+        run = F.when(s["last"] == x, s["run"] + 2).otherwise(F.lit(1.0))
+        return F.struct(x.alias("last"), run.alias("run"), (s["sum"] + run).alias("sum"))
 
-    counts = total(F.transform(F.sequence(F.lit(0), (size - 1).cast("int")), squared_count))
+    # squares of the counts: the i-th of equal values adds 2i - 1
+    begin = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+    counts = F.aggregate(F.array_sort("values"), begin, meet, lambda s: s["sum"])
     rows = rows.withColumn("chi", size / n * counts - n)
     df = size - 1
     cube = F.lit(2.0) / (F.lit(9.0) * df)
@@ -230,7 +233,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for order, (_, _, _, length) in enumerate(BASE):
         least = F.when(F.col("kind_no") == order, length).otherwise(least)
     base = placed.where((F.col("kind_no") < len(BASE)) & (F.length("part") >= least))
-    drawn = discoveries(battery(placed.where(F.col("kind_no") == len(BASE))))
+    tested = battery(placed.where(F.col("kind_no") == len(BASE)))
+    drawn = discoveries(stage(tested, "secret-tests"))
     columns = ["row_no", "start", "kind_no", "end", "whole"]
     spans = base.select(*columns).unionByName(drawn.select(*columns))
     one = F.struct("start", "kind_no", "end", F.col("whole").alias("value"))
