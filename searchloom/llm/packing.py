@@ -177,9 +177,10 @@ class Bins:
             a = int(live[np.argmin(self.fill[live])])
             if not self._improve(a):
                 stuck[a] = True
-            elif self.fill[a] == 0:
+                continue
+            stuck[:] = False  # what changed may let other bins give
+            if self.fill[a] == 0:
                 open_bins -= 1
-                stuck[:] = False
 
 
 def pack(sizes: np.ndarray, capacity: int, steps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
