@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from searchloom.config import ClusterConfig
 from searchloom.operators.density.tiles import (
     crossing_tree,
-    grid_distances,
+    distances,
     lightest_forest,
     keep_nearest,
     matrix,
@@ -85,7 +85,7 @@ def tile_pairs(table: pa.Table, rows: int) -> list[tuple[np.ndarray, np.ndarray,
 def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFrame:
     """Add ``core``: each task reports its nearest few per point, the least of all win.
 
-    ``core`` is a squared distance in grid steps.  Neighbours inside a block are
+    ``core`` is a squared distance.  Neighbours inside a block are
     reported by the pair ``(i, i)`` alone, so that none is counted twice.
     """
     min_samples, side = config.min_samples, config.tile_rows // 2
@@ -96,13 +96,12 @@ def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -
     def near(table: pa.Table) -> pa.RecordBatch:
         copies = table["copies"].to_numpy()
         x = matrix(table["embedding"])
-        grid = table["grid"][0].as_py()
         best = (
             np.full((len(x), min_samples), np.inf),
             np.zeros((len(x), min_samples), dtype=np.int64),
         )
         for p, q, same in tile_pairs(table, side):
-            d = grid_distances(x[p], x[q], grid)
+            d = distances(x[p], x[q], same)
             keep_nearest(best, p, nearest(d, copies[q], min_samples, same))
             if not same:
                 keep_nearest(best, q, nearest(d.T, copies[p], min_samples, False))
@@ -157,10 +156,9 @@ def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFra
     def forest(table: pa.Table) -> pa.RecordBatch:
         rid, core = table["rid"].to_numpy(), table["core"].to_numpy()
         x = matrix(table["embedding"])
-        grid = table["grid"][0].as_py()
         edges = []
         for p, q, same in tile_pairs(table, side):
-            d = grid_distances(x[p], x[q], grid)
+            d = distances(x[p], x[q], same)
             if same:
                 edges.append(spanning_tree(d, core[p], rid[p]))
             else:

@@ -204,11 +204,10 @@ def splitting_edges(
         tree.join(at("a"), ["topic", "a"])
         .join(at("b"), ["topic", "b"])
         .where(reached("a") & reached("b"))
-        .join(points.select("topic", F.col("rid").alias("a"), "grid"), ["topic", "a"])
         .select(
             "topic",
             *ORDER,
-            (F.col("weight") * F.col("grid") >= min_split * min_split).alias("counts"),
+            (F.col("weight") >= min_split * min_split).alias("counts"),
         )
     )
     splits = stage(splits, "splits")

@@ -20,7 +20,7 @@ from searchloom.operators.density.blocks import (
 from searchloom.operators.density.forest import contract, forest_leaves
 from searchloom.operators.density.tiles import (
     core_from_nearest,
-    grid_distances,
+    distances,
     leaf_clusters,
     matrix,
     nearest,
@@ -29,10 +29,6 @@ from searchloom.operators.density.tiles import (
 )
 from searchloom.session import shuffle_partitions, stage
 
-# Squared distances are rounded to this fraction of the largest squared length
-# (a power of two, hence exact to divide by): far above the rounding error of a
-# matrix product, far below any distance of interest.
-GRID = 2.0**-36
 MAX_TASKS = 20000
 RANK_RANGES = 1024
 
@@ -79,15 +75,13 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
     broken = vec.isNull() | length.isNull() | F.isnan(length) | (length == math.inf)
     measured = distinct.groupBy("topic").agg(
         F.count(F.lit(1)).alias("distinct_points"),
-        F.max(length).alias("longest"),
         F.max(broken).alias("broken"),
         F.max(F.col("holders") > 1).alias("shared"),
         F.max(F.size(vec)).alias("dim"),
         (F.max(F.size(vec)) != F.min(F.size(vec))).alias("uneven"),
     )
-    exponent = F.when(F.col("longest") > 0, F.ceil(F.round(F.log2("longest"), 6))).otherwise(F.lit(0))
     topics = stage(
-        measured.withColumn("grid", F.pow(F.lit(2.0), exponent) * GRID).withColumn(
+        measured.withColumn(
             "error",
             F.when(F.col("broken"), "missing or non-finite vectors").when(
                 F.col("uneven"), "vectors of different lengths"
@@ -108,7 +102,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
     def tasks(wanted: float) -> int:
         return int(min(MAX_TASKS, max(wanted, shuffle_partitions(spark))))
 
-    sized = topics.select("topic", "distinct_points", "blocks", "grid", "error")
+    sized = topics.select("topic", "distinct_points", "blocks", "error")
     rows = distinct.join(sized, "topic").where(good).drop("holders", "error")
     return Prepared(
         points,
@@ -128,10 +122,10 @@ def _whole_topics(ready: Prepared) -> DataFrame:
 
 
 def _solve(table: pa.Table, min_samples: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distances and core distances, in grid steps, of one topic in one tile."""
+    """Squared distances and core distances of one topic in one tile."""
     copies = table["copies"].to_numpy()
     x = matrix(table["embedding"])
-    d = grid_distances(x, x, table["grid"][0].as_py())
+    d = distances(x, x, True)
     return d, core_from_nearest(*nearest(d, copies, min_samples, True), copies, min_samples)
 
 
@@ -148,7 +142,7 @@ def core_distances(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
 
     def tile(table: pa.Table) -> pa.RecordBatch:
         _, core = _solve(table, min_samples)
-        core = np.sqrt(core * table["grid"][0].as_py())
+        core = np.sqrt(core)
         rid = table["rid"].combine_chunks()
         return pa.record_batch([_topic_column(table, len(rid)), rid, pa.array(core)], schema=schema)
 
@@ -158,7 +152,7 @@ def core_distances(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
     if ready.large is not None:
         cores = block_core_distances(add_blocks(ready.large), config, ready.large_tasks)
         found = found.unionByName(
-            cores.select("topic", "rid", F.sqrt(F.col("core") * F.col("grid")).alias("core"))
+            cores.select("topic", "rid", F.sqrt("core").alias("core"))
         )
     return _to_queries(found, ready)
 
@@ -177,7 +171,7 @@ def spanning_edges(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
     def tile(table: pa.Table) -> pa.RecordBatch:
         rid = table["rid"].to_numpy()
         a, b, weight, _ = spanning_tree(*_solve(table, min_samples), rid)
-        weight = np.sqrt(weight * table["grid"][0].as_py())
+        weight = np.sqrt(weight)
         return pa.record_batch(
             [_topic_column(table, len(a)), pa.array(a), pa.array(b), pa.array(weight)],
             schema=schema,
@@ -187,13 +181,8 @@ def spanning_edges(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
         per_group(["topic"], tile), "topic string, a bigint, b bigint, weight double"
     )
     if ready.large is not None:
-        tree, vertices = _large_tree(ready, config)
-        grid = vertices.select("topic", F.col("rid").alias("a"), "grid")
-        edges = edges.unionByName(
-            tree.join(grid, ["topic", "a"]).select(
-                "topic", "a", "b", F.sqrt(F.col("weight") * F.col("grid")).alias("weight")
-            )
-        )
+        tree, _ = _large_tree(ready, config)
+        edges = edges.unionByName(tree.select("topic", "a", "b", F.sqrt("weight").alias("weight")))
     return edges
 
 
@@ -204,7 +193,7 @@ def _large_tree(ready: Prepared, config: ClusterConfig) -> tuple[DataFrame, Data
     )
     candidates = stage(block_edges(cored, config, ready.large_tasks), "candidate-edges")
     tree, _ = contract(candidates)
-    return tree, cored.select("topic", "rid", "copies", "grid")
+    return tree, cored.select("topic", "rid", "copies")
 
 
 def number_clusters(members: DataFrame) -> DataFrame:
@@ -257,9 +246,8 @@ def _small_labels(ready: Prepared, config: ClusterConfig) -> DataFrame:
         d, core = _solve(table, min_samples)
         # Rows come sorted by id, so places order the points as their ids do.
         a, b, weight, distance = spanning_tree(d, core, np.arange(len(core)))
-        split = min_split * min_split / table["grid"][0].as_py()
         copies = table["copies"].to_numpy()
-        found = leaf_clusters(a, b, weight, distance, copies, min_size, split)
+        found = leaf_clusters(a, b, weight, distance, copies, min_size, min_split * min_split)
         # Number the clusters by where they are met first.
         _, first, back = np.unique(found, return_index=True, return_inverse=True)
         first[: int((found < 0).any())] = -1

@@ -56,20 +56,34 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(len(column), -1), dtype=np.float64)
 
 
-def grid_distances(a: np.ndarray, b: np.ndarray, grid: float) -> np.ndarray:
-    """Squared distances in whole multiples of ``grid``, a power of two.
+def _keep_bits(d: np.ndarray) -> np.ndarray:
+    """Round to the first 38 bits of each number, whatever its size."""
+    wide = d * (2.0**15 + 1)
+    return wide - (wide - d)
 
-    One matrix product: the squared lengths ride along as two more columns.  The
-    grid lies far above its rounding error, so equal distances compare equal in
-    whichever tile they are computed.
+
+def distances(a: np.ndarray, b: np.ndarray, same: bool = False) -> np.ndarray:
+    """Squared distances between the rows of ``a`` and of ``b``, which are ``a`` if ``same``.
+
+    A matrix product of the vectors less their common mean gives all of them; where
+    the lengths cancel, so that a distance is small against its two vectors, it is
+    taken anew from the differences.  What is left has a relative error far below
+    the rounding that makes equal distances compare equal in whichever tile.
     """
-    length_a = (a * a).sum(axis=1)[:, None] / grid
-    length_b = (b * b).sum(axis=1)[:, None] / grid
-    left = np.hstack([a * (-2.0 / grid), length_a, np.ones_like(length_a)])
-    right = np.hstack([b, np.ones_like(length_b), length_b])
+    centre = (a.sum(axis=0) + b.sum(axis=0)) / (len(a) + len(b))
+    left, right = a - centre, b - centre
+    lengths = (left * left).sum(axis=1)[:, None] + (right * right).sum(axis=1)[None, :]
     d = left @ right.T
-    np.rint(d, out=d)
-    return np.maximum(d, 0.0, out=d)
+    d *= -2.0
+    d += lengths
+    i, j = np.nonzero(d * 16.0 < lengths)
+    step = max(1, (1 << 22) // max(1, a.shape[1]))
+    for at in range(0, len(i), step):
+        rows, columns = i[at : at + step], j[at : at + step]
+        apart = a[rows] - b[columns]
+        d[rows, columns] = (apart * apart).sum(axis=1)
+    d = _keep_bits(np.maximum(d, 0.0, out=d))
+    return np.maximum(d, d.T) if same else d
 
 
 def nearest(

@@ -8,7 +8,7 @@ from searchloom import constants as C
 from searchloom.config import LoadConfig
 from searchloom.functions.text import clean_query, has_alnum, has_topic, is_blank, parse_topics
 from searchloom.operators.language import LanguageModel, detect_language
-from searchloom.sources.tables import load_queries_from_table, with_query_id
+from searchloom.sources.tables import load_queries_from_table, require_unique_ids, with_query_id
 
 
 def require_columns(df: DataFrame, names: tuple[str, ...] = ("query",)) -> None:
@@ -38,18 +38,24 @@ def _first_failed(reason: Column, checks: list) -> Column:
     return reason
 
 
+def require_model(config: LoadConfig, model: LanguageModel | None) -> None:
+    if config.language_filter and model is None:
+        raise ValueError("the language filter needs a language_model; give one or set language_filter=False")
+
+
 def mark_drops(
     raw: DataFrame, config: LoadConfig, model: LanguageModel | None = None
 ) -> DataFrame:
     """Add ``drop_reason``, the first filter a row fails, and ``query_clean`` for the rest."""
     require_columns(raw)
+    require_model(config, model)
     before, after = cheap_filters(raw, config)
     nothing = F.when(F.lit(False), F.lit(None).cast("string"))
     passed = F.col("drop_reason").isNull()
     marked = raw.withColumn("drop_reason", _first_failed(nothing, before))
     marked = marked.withColumn("query_clean", F.when(passed, clean_query("query")))
     reason = F.when(~passed, F.col("drop_reason"))
-    if config.language_filter and model is not None:
+    if config.language_filter:
         # Only texts that got this far are scored.
         marked = detect_language(marked, model, text_col="query_clean", cleaned=True)
         reason = reason.when(F.col("language") != C.DEFAULT_LANGUAGE, C.DROP_LANGUAGE)
@@ -64,14 +70,20 @@ def user_column(df: DataFrame) -> Column:
     return F.lit(C.UNKNOWN_USER)
 
 
-def deduplicate(df: DataFrame, key: str, order: str, keep: list[str]) -> DataFrame:
-    """One row per ``key``, the first by ``order``.
+def text_digest(column: str) -> Column:
+    """Thirty-two bytes that stand for a text where texts are compared."""
+    return F.unhex(F.sha2(F.col(column).cast("binary"), 256))
+
 
-    ``min_by`` is combined before the shuffle, so a text that makes up a large
-    part of the log sends one row per task.
+def deduplicate(df: DataFrame, key: str, order: str) -> DataFrame:
+    """One row per ``key``, the one of the smallest ``order``, which is unique.
+
+    Digests and ids alone are aggregated, by hash and combined before the shuffle, so
+    a text that makes up a large part of the log sends one row per task; the rows that
+    stay are then picked by id.
     """
-    first = F.min_by(F.struct(*keep), order).alias("first")
-    return df.groupBy(key).agg(first).select(key, "first.*")
+    first = df.groupBy(text_digest(key).alias("digest")).agg(F.min(order).alias(order))
+    return df.join(first.select(order), order, "left_semi")
 
 
 def filter_queries(
@@ -79,6 +91,7 @@ def filter_queries(
 ) -> DataFrame:
     """Apply all filters in order and keep the first row of each cleaned text."""
     require_columns(raw)
+    require_model(config, model)
     before, after = cheap_filters(raw, config)
     kept = raw
     # The topic test is the cheapest and can be left to the scan; which rows are
@@ -86,9 +99,6 @@ def filter_queries(
     for _, passes in [*after, *before]:
         kept = kept.where(passes)
     kept = kept.withColumn("query_clean", clean_query("query"))
-    if config.language_filter and model is not None:
-        kept = detect_language(kept, model, text_col="query_clean", cleaned=True)
-        kept = kept.where(F.col("language") == C.DEFAULT_LANGUAGE)
     topics = (
         parse_topics("topic")
         if "topic" in raw.columns
@@ -97,9 +107,12 @@ def filter_queries(
     rows = kept.select(
         "query_id", "query_clean", user_column(raw).alias("user"), topics.alias("topics")
     )
-    return deduplicate(rows, "query_clean", "query_id", ["query_id", "user", "topics"]).select(
-        "query_id", F.col("query_clean").alias("query"), "user", "topics"
-    )
+    # Equal texts have one language, so only the first of each is looked at.
+    first = deduplicate(rows, "query_clean", "query_id")
+    if config.language_filter:
+        first = detect_language(first, model, text_col="query_clean", cleaned=True)
+        first = first.where(F.col("language") == C.DEFAULT_LANGUAGE)
+    return first.select("query_id", F.col("query_clean").alias("query"), "user", "topics")
 
 
 def filter_audit(
@@ -121,7 +134,7 @@ def filter_audit(
             )
         ],
         F.count_if(reason.isNull()).alias("kept"),
-        F.count_distinct(F.when(reason.isNull(), F.col("query_clean"))).alias("final"),
+        F.count_distinct(F.when(reason.isNull(), text_digest("query_clean"))).alias("final"),
     )
     return counted.select(
         "original",
@@ -135,7 +148,7 @@ def filter_audit(
 def load_and_filter_queries(
     table_name: str | None = None,
     df: DataFrame | None = None,
-    limit: int | None = 10000,
+    limit: int | None = None,
     min_length: int = 30,
     require_topics: bool = True,
     language_filter: bool = True,
@@ -145,8 +158,8 @@ def load_and_filter_queries(
 ) -> DataFrame:
     """Load a log from a table or a DataFrame (which wins) and filter it.
 
-    ``limit`` applies to the table only.  Without a language model every text
-    counts as English, so the language filter keeps all of them.
+    ``limit`` applies to the table only; by default nothing is cut off.  Ids must be
+    unique.  The language filter needs a model: see ``train_language_model``.
     """
     if df is None and table_name is None:
         raise ValueError("Either table_name or df must be provided")
@@ -157,4 +170,6 @@ def load_and_filter_queries(
         require_columns(df)
         df = with_query_id(df, order_col)
     config = LoadConfig(min_length, require_topics, language_filter)
+    require_model(config, language_model)
+    require_unique_ids(df)
     return filter_queries(df, config, language_model)

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from searchloom.session import shuffle_partitions
 
 
-# Each sample file is a single row group, so its scan is a single task.  Files as
-# small as that are dealt out to the cores; larger tables are left as they lie.
-SPREAD_BELOW_BYTES = 64 << 20
-
-
 def read(spark: SparkSession, sf_dir: str, table: str, key: str | None = None) -> DataFrame:
-    path = f"{sf_dir}/{table}.parquet"
-    df = spark.read.parquet(path)
-    if key is None or not os.path.isfile(path) or os.path.getsize(path) > SPREAD_BELOW_BYTES:
-        return df
-    return df.repartition(shuffle_partitions(spark), key)
+    """A table as it lies, or with ``key`` dealt out by it: a sample file is one row group,
+    which one task would read."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return df if key is None else df.repartition(shuffle_partitions(spark), key)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

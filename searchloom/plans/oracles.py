@@ -146,6 +146,14 @@ VEC_POINTS = """points AS (
   FROM embeddings)"""
 
 
+def moved_points(coordinate: str) -> str:
+    """The points with every coordinate ``x`` replaced."""
+    return f"""points AS (
+  SELECT 't' || label AS topic, vec_id AS query_id,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: {coordinate}) AS vec
+  FROM embeddings)"""
+
+
 def density(config: ClusterConfig = ClusterConfig(), doublings: int = 7) -> str:
     """Labels of ``points``; ``doublings`` must cover the longest path in a topic's tree."""
     # Points get small numbers, unique over all topics, to keep the paths compact.
@@ -173,8 +181,7 @@ path0 AS MATERIALIZED (
     path = "paths"
     return f"""gaps AS MATERIALIZED (
   SELECT topic, p.query_id AS a, q.query_id AS b,
-         round(list_sum(list_transform(list_zip(p.vec, q.vec), lambda z: (z[1] - z[2]) ** 2))
-               * 2.0 ** 36) AS d
+         list_distance(p.vec, q.vec) AS d
   FROM points p JOIN points q USING (topic) WHERE p.query_id < q.query_id),
 near AS (
   SELECT topic, x, d, row_number() OVER (PARTITION BY topic, x ORDER BY d) AS n,
@@ -195,7 +202,7 @@ reach AS (
     SELECT topic, x, r, row_number() OVER (PARTITION BY topic, x ORDER BY r) AS n
     FROM {path} WHERE x <> y) WHERE n = {config.min_cluster_size - 1}),
 all_splits AS (
-  SELECT t.*, t.w >= {config.cluster_selection_epsilon} ** 2 * 2.0 ** 36 AS wide
+  SELECT t.*, t.w >= {config.cluster_selection_epsilon} AS wide
   FROM tree t JOIN reach ra ON ra.topic = t.topic AND ra.x = t.a AND ra.r < t.r
   JOIN reach rb ON rb.topic = t.topic AND rb.x = t.b AND rb.r < t.r),
 splits AS (
@@ -435,14 +442,15 @@ def report_sql() -> str:
     )
 
 
-TREE_WEIGHTS = """SELECT topic, round(sqrt(w * 2.0 ** -36), 5) AS weight, count(*) AS n_edges
+TREE_WEIGHTS = """SELECT topic, round(w, 5) AS weight, count(*) AS n_edges
 FROM tree GROUP BY ALL"""
-CORE_DISTANCES = """SELECT topic, x AS query_id, round(sqrt(c * 2.0 ** -36), 5) AS core FROM core"""
+CORE_DISTANCES = """SELECT topic, x AS query_id, round(c, 5) AS core FROM core"""
 LABELS = "SELECT topic, query_id, label FROM labels"
 EPSILON_CLUSTERS = ClusterConfig(min_cluster_size=2, cluster_selection_epsilon=1.2)
 VECTORS = with_(VEC_POINTS, density())
 
 ORACLES: dict[str, str] = {
+    "table_scan_whole": with_(DOC_LOG) + "SELECT * FROM log",
     "table_scan": with_(DOC_LOG) + "SELECT * FROM log ORDER BY query_id LIMIT 100",
     "csv_round_trip": with_(DOC_LOG) + "SELECT * FROM log",
     "json_round_trip": with_(CONV_LOG) + "SELECT * FROM log",
@@ -452,6 +460,9 @@ ORACLES: dict[str, str] = {
     "filter_without_topics": with_(CONV_LOG, reasons(0, topics=False), KEPT)
     + "SELECT query_id, query, 'unknown' AS \"user\", '' AS topics FROM kept",
     "filter_by_language": with_(DOC_LOG, LANGUAGES, reasons(languages=True), KEPT) + KEPT_ROWS,
+    "drop_reasons_with_language": with_(DOC_LOG, LANGUAGES, reasons(languages=True))
+    + "SELECT query_id, drop_reason FROM reasons",
+    "audit_with_language": with_(DOC_LOG, LANGUAGES, reasons(languages=True)) + AUDIT,
     "drop_reasons": with_(CONV_LOG, reasons()) + "SELECT query_id, drop_reason FROM reasons",
     "audit_documents": with_(DOC_LOG, reasons()) + AUDIT,
     "audit_conversations": with_(CONV_LOG, reasons()) + AUDIT,
@@ -495,6 +506,11 @@ FROM (SELECT embedding, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]),
     "density_labels": VECTORS + LABELS,
     "density_labels_with_epsilon": with_(VEC_POINTS, density(EPSILON_CLUSTERS)) + LABELS,
     "density_labels_in_blocks": VECTORS + LABELS,
+    "density_labels_shifted": with_(moved_points("x + 1000.0"), density()) + LABELS,
+    "density_labels_with_outlier": with_(
+        moved_points("x * CASE WHEN vec_id % 97 = 0 THEN 1e7 ELSE 1.0 END"), density()
+    )
+    + LABELS,
     "capped_members": with_(*SAMPLE)
     + """SELECT topic, CAST(label AS INTEGER) AS label, query_id, CAST(pos AS INTEGER) AS pos,
   CAST(rank AS INTEGER) AS rank FROM capped""",

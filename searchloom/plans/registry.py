@@ -49,6 +49,11 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_queries_from_table(spark, "searchloom_doc_log", limit=100)
 
 
+def table_scan_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    adapters.doc_log(spark, sf_dir).createOrReplaceTempView("searchloom_doc_log")
+    return tables.load_queries_from_table(spark, "searchloom_doc_log")
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "csv")
     files.write_csv_dbfs(adapters.doc_log(spark, sf_dir), path)
@@ -104,6 +109,18 @@ def audit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.withColumn("retention", round6("retention"))
 
 
+def drop_reasons_with_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train_language_model(adapters.documents(spark, sf_dir))
+    marked = filters.mark_drops(adapters.doc_log(spark, sf_dir), LoadConfig(), model)
+    return marked.select("query_id", "drop_reason")
+
+
+def audit_with_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train_language_model(adapters.documents(spark, sf_dir))
+    audit = filters.filter_audit(adapters.doc_log(spark, sf_dir), LoadConfig(), model)
+    return audit.withColumn("retention", round6("retention"))
+
+
 def audit_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = filters.filter_audit(adapters.conv_log(spark, sf_dir), NO_LANGUAGE)
     return audit.withColumn("retention", round6("retention"))
@@ -251,6 +268,19 @@ def density_labels_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_labels(_vector_points(spark, sf_dir), ClusterConfig(tile_rows=40))[0]
 
 
+def density_labels_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every coordinate moved by 1,000: the labels do not change."""
+    moved = F.transform("embedding", lambda x: x + 1000.0)
+    return cluster_labels(_vector_points(spark, sf_dir).withColumn("embedding", moved))[0]
+
+
+def density_labels_with_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors of the ids divisible by 97 ten million times as long as the others."""
+    far = F.when(F.col("query_id") % 97 == 0, 1e7).otherwise(1.0)
+    points = _vector_points(spark, sf_dir).withColumn("embedding", F.transform("embedding", lambda x: x * far))
+    return cluster_labels(points, ClusterConfig(tile_rows=40))[0]
+
+
 def sample_members(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Vectors under two or three topics each, with labels that are given, not found."""
     vec_id = F.col("query_id")
@@ -320,7 +350,7 @@ def prompt_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cluster",
         "cluster_size",
         seo.cluster_topic("cluster").alias("topic"),
-        joined(F.transform(lines, lambda t: F.substring(t, 3, 100)), "|").alias("examples"),
+        joined(F.transform(lines, lambda t: F.substr(t, F.lit(3))), "|").alias("examples"),
     )
 
 
@@ -410,6 +440,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         table_scan,
+        table_scan_whole,
         csv_round_trip,
         json_round_trip,
         table_round_trip,
@@ -418,6 +449,8 @@ QUERIES: dict[str, Query] = {
         filter_without_topics,
         filter_by_language,
         drop_reasons,
+        drop_reasons_with_language,
+        audit_with_language,
         audit_documents,
         audit_conversations,
         clean_text,
@@ -437,6 +470,8 @@ QUERIES: dict[str, Query] = {
         density_labels,
         density_labels_with_epsilon,
         density_labels_in_blocks,
+        density_labels_shifted,
+        density_labels_with_outlier,
         capped_members,
         cluster_measures,
         valid_clusters,

@@ -14,14 +14,12 @@ from searchloom.operators.density import blocks, cluster_labels, labels
 from searchloom.operators.density.labels import core_distances, spanning_edges
 from searchloom.operators.density.tiles import (
     core_from_nearest,
-    grid_distances,
+    distances,
     leaf_clusters,
     nearest,
     spanning_tree,
 )
 
-GRID = 2.0**-36
-
 
 def cloud(seed, n, dim, groups=4, spread=0.05, copies=0, lattice=False):
     rng = random.Random(seed)
@@ -49,10 +47,10 @@ def solve_one_tile(points, min_size, min_samples, epsilon):
     ids = sorted(copies)
     x = np.array([points[i] for i in ids])
     m = np.array([copies[i] for i in ids])
-    d = grid_distances(x, x, GRID)
+    d = distances(x, x, True)
     core = core_from_nearest(*nearest(d, m, min_samples, True), m, min_samples)
     a, b, w, dist = spanning_tree(d, core, np.arange(len(ids)))
-    label = leaf_clusters(a, b, w, dist, m, min_size, epsilon * epsilon / GRID)
+    label = leaf_clusters(a, b, w, dist, m, min_size, epsilon * epsilon)
     found = {}
     for i, k in zip(ids, label):
         if k >= 0:
@@ -60,6 +58,26 @@ def solve_one_tile(points, min_size, min_samples, epsilon):
     return {frozenset(s) for s in found.values()}
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_a_shift_or_an_outlier_changes_nothing(seed):
+    points = cloud(seed, 60, 8, groups=5, spread=0.1)
+    expected, _ = clusters(points, 3, 2, 0.1)
+    for by in (1e3, 1e5):
+        moved = {i: [x + by for x in v] for i, v in points.items()}
+        assert solve_one_tile(moved, 3, 2, 0.1) == expected
+    for far in (1e5, 1e6, 1e7):
+        with_one = points | {60: [far] + [0.0] * 7}
+        assert solve_one_tile(with_one, 3, 2, 0.1) == clusters(with_one, 3, 2, 0.1)[0]
+
+
+def test_distances_do_not_depend_on_the_tile():
+    x = np.array(list(cloud(1, 90, 5, copies=20).values())) + 1000.0
+    whole = distances(x, x, True)
+    direct = ((x[:, None] - x[None]) ** 2).sum(2)
+    assert (whole == whole.T).all() and np.allclose(whole, direct, rtol=1e-11, atol=0)
+    assert (distances(x[:30], x[30:]) == whole[:30, 30:]).all()
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_one_tile_equals_direct(seed):
     rng = random.Random(1000 + seed)

@@ -136,11 +136,18 @@ def test_errors(spark, log):
         load_and_filter_queries(df=log, order_col="nothing")
 
 
-def test_rows_without_ids_are_numbered_once(spark, log):
-    kept = load_and_filter_queries(df=log.drop("query_id").coalesce(1), language_filter=False)
-    assert kept.count() == 5
-    first, second = (sorted(r.query_id for r in kept.collect()) for _ in range(2))
-    assert first == second
+def test_rows_need_unique_ids(spark, log):
+    with pytest.raises(ValueError, match="query_id"):
+        load_and_filter_queries(df=log.drop("query_id"), language_filter=False)
+    for bad in (log.unionByName(log.limit(1)), log.withColumn("query_id", F.nullif("query_id", F.lit(3)))):
+        with pytest.raises(ValueError, match="unique and not null"):
+            load_and_filter_queries(df=bad, language_filter=False)
+
+
+def test_language_filter_needs_a_model(spark, log):
+    for run in (lambda: load_and_filter_queries(df=log), lambda: filter_queries(log), lambda: filter_audit(log)):
+        with pytest.raises(ValueError, match="language_model"):
+            run()
 
 
 def test_language_model(spark):

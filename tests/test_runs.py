@@ -67,8 +67,17 @@ def test_table_source(spark, odd):
     last.createOrReplaceTempView("odd_log_by_at")
     by_at = load_queries_from_table(spark, "odd_log_by_at", 2, order_col="at")
     assert sorted(r.query_id for r in by_at.collect()) == [-4, -3]
+    assert sorted(r.query_id for r in load_queries_from_table(spark, "odd_log", 10**9).collect()) == sorted(
+        r[0] for r in ODD
+    )
+    assert load_queries_from_table(spark, "odd_log", 0).count() == 0
+    wide = spark.range(3000).select((F.col("id") * 1_000_003 - 7).alias("query_id"), *[F.lit("x").alias(c) for c in ("query", "topic", "user_id")])
+    wide.createOrReplaceTempView("wide_log")
+    some = load_queries_from_table(spark, "wide_log", 1234)
+    assert some.agg(F.count("*"), F.max("query_id")).first() == (1234, 1233 * 1_000_003 - 7)
     last.drop("at").createOrReplaceTempView("odd_log_bare")
-    assert load_queries_from_table(spark, "odd_log_bare", 3).count() == 3
+    with pytest.raises(ValueError, match="order_col"):
+        load_queries_from_table(spark, "odd_log_bare")
 
 
 def test_configs():
