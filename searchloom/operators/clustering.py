@@ -28,7 +28,8 @@ class Clustering:
 
     ``assignments`` is ``clustered`` with the query id, the member's rank and its
     distance to the centroid; ``rejected`` holds the clusters that were turned
-    down, with reasons; ``failed_topics`` those whose vectors could not be used.
+    down, with reasons; ``failed_topics`` those whose vectors could not be used;
+    ``capped_out`` the members that the cap took out of their clusters.
     """
 
     clustered: DataFrame
@@ -36,6 +37,7 @@ class Clustering:
     rejected: DataFrame
     assignments: DataFrame
     failed_topics: DataFrame | None = None
+    capped_out: DataFrame | None = None
 
 
 def topic_members(embedded: DataFrame, config: ClusterConfig) -> DataFrame:
@@ -96,6 +98,9 @@ def finish_clusters(
         described.where("is_valid").select(*metadata_columns),
         described.where("not is_valid").select(*metadata_columns),
         assignments,
+        capped_out=in_clusters.select("topic", "label", "query_id", "pos").join(
+            capped.select("topic", "label", "query_id", "pos"), ["topic", "label", "query_id", "pos"], "left_anti"
+        ),
     )
 
 

@@ -14,7 +14,7 @@ from searchloom.sources.tables import load_queries_from_table, require_unique_id
 def require_columns(df: DataFrame, names: tuple[str, ...] = ("query",)) -> None:
     missing = [name for name in names if name not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the log lacks columns: {missing}")
 
 
 def cheap_filters(raw: DataFrame, config: LoadConfig) -> tuple[list, list]:
@@ -145,6 +145,22 @@ def filter_audit(
     )
 
 
+def load_log(
+    table_name: str | None,
+    df: DataFrame | None,
+    limit: int | None = None,
+    order_col: str | None = None,
+    spark: SparkSession | None = None,
+) -> DataFrame:
+    """The raw log with ids, from a DataFrame or else from a table."""
+    if df is not None:
+        require_columns(df)
+        return with_query_id(df, order_col)
+    if table_name is None:
+        raise ValueError("give a log: table_name or df")
+    return load_queries_from_table(spark or SparkSession.active(), table_name, limit, order_col)
+
+
 def load_and_filter_queries(
     table_name: str | None = None,
     df: DataFrame | None = None,
@@ -161,14 +177,7 @@ def load_and_filter_queries(
     ``limit`` applies to the table only; by default nothing is cut off.  Ids must be
     unique.  The language filter needs a model: see ``train_language_model``.
     """
-    if df is None and table_name is None:
-        raise ValueError("Either table_name or df must be provided")
-    if df is None:
-        spark = spark or SparkSession.active()
-        df = load_queries_from_table(spark, table_name, limit, order_col)
-    else:
-        require_columns(df)
-        df = with_query_id(df, order_col)
+    df = load_log(table_name, df, limit, order_col, spark)
     config = LoadConfig(min_length, require_topics, language_filter)
     require_model(config, language_model)
     require_unique_ids(df)

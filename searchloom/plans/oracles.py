@@ -478,6 +478,9 @@ FROM (SELECT doc_id, {topic_list('text')} AS t FROM documents)""",
     + "SELECT lang AS language, count(*) AS n_queries FROM best GROUP BY lang",
     "trigram_totals": with_(LANGUAGES)
     + "SELECT lang, CAST(bucket AS INTEGER) AS bucket, n FROM totals",
+    "profile_languages": with_(DOC_LOG, reasons(), KEPT, LANGUAGES)
+    + """SELECT (SELECT count(*) FROM kept) AS total_queries, lang AS language, count(*) AS n_queries
+FROM kept JOIN best ON best.id = kept.query_id GROUP BY lang""",
     "profile_queries": with_(DOC_LOG, reasons(), KEPT)
     + """SELECT count(*) AS total_queries, count(DISTINCT query) AS unique_queries,
   count(DISTINCT usr) AS unique_users, round(avg(length(query)), 6) AS avg_query_length,
@@ -514,6 +517,11 @@ FROM (SELECT embedding, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]),
     "capped_members": with_(*SAMPLE)
     + """SELECT topic, CAST(label AS INTEGER) AS label, query_id, CAST(pos AS INTEGER) AS pos,
   CAST(rank AS INTEGER) AS rank FROM capped""",
+    "capped_out": with_(*SAMPLE)
+    + """SELECT topic, CAST(label AS INTEGER) AS label, query_id, CAST(pos AS INTEGER) AS pos
+FROM away ANTI JOIN capped USING (topic, label, query_id, pos)""",
+    "failed_topics": """SELECT 't' || label AS topic, 'missing or non-finite vectors' AS error
+FROM embeddings GROUP BY label HAVING bool_or(vec_id % 250 = 7)""",
     "cluster_measures": with_(*SAMPLE)
     + """SELECT topic, CAST(label AS INTEGER) AS label, n_queries, round(cohesion, 6) AS cohesion,
   unique_users FROM measured""",
@@ -577,3 +585,5 @@ FROM (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS
     )
     + STATISTICS,
 }
+
+ORACLES["notebook_outputs"] = ORACLES["flagship_statistics"]

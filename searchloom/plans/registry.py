@@ -20,7 +20,7 @@ from searchloom.operators.density import cluster_labels, core_distances
 from searchloom.operators.density.labels import spanning_edges
 from searchloom.operators.report import cluster_report
 from searchloom.plans import adapters
-from searchloom.plans.pipeline import run_pipeline, run_statistics
+from searchloom.plans.pipeline import run_pipeline, run_pipeline_from_notebook, run_statistics
 from searchloom.session import new_path, stage
 from searchloom.sources import files, tables
 
@@ -169,6 +169,13 @@ def profile_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumn("avg_query_length", round6("avg_query_length"))
 
 
+def profile_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train_language_model(adapters.documents(spark, sf_dir))
+    kept = filters.filter_queries(adapters.doc_log(spark, sf_dir), NO_LANGUAGE)
+    stats = profile.validate_query_data(kept, model)
+    return stats.select("total_queries", F.explode("languages").alias("language", "n_queries"))
+
+
 # Embedding
 
 
@@ -313,6 +320,16 @@ def capped_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped.select("topic", "label", "query_id", "pos", "rank")
 
 
+def capped_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_clustering(spark, sf_dir).capped_out
+
+
+def failed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics that hold a missing vector."""
+    missing = F.when(F.col("query_id") % 250 != 7, F.col("embedding"))
+    return cluster_labels(_vector_points(spark, sf_dir).withColumn("embedding", missing))[1]
+
+
 def cluster_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, members, labels = sample_members(spark, sf_dir)
     labelled = members.where("clusterable").join(labels, ["topic", "query_id"])
@@ -436,6 +453,26 @@ def flagship_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).statistics
 
 
+def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that writes its five outputs, and how many rows each of the four tables reads back as."""
+    path = new_path(spark, "notebook")
+    run_pipeline_from_notebook(
+        adapters.conv_log(spark, sf_dir),
+        path,
+        language_filter=False,
+        min_cluster_size=2,
+        min_cluster_similarity=0.1,
+        min_seo_similarity=0.3,
+        min_unique_users=1,
+    )
+    metadata = files.read_json_dbfs(spark, f"{path}/cluster_metadata.json", schemas.CLUSTER_METADATA)
+    return run_statistics(
+        files.read_csv_dbfs(spark, f"{path}/filtered_queries.csv"),
+        metadata,
+        files.read_csv_dbfs(spark, f"{path}/seo_queries.csv"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -459,6 +496,7 @@ QUERIES: dict[str, Query] = {
         language_counts,
         trigram_totals,
         profile_queries,
+        profile_languages,
         tfidf_weights,
         embed_with_plugin,
         vector_statistics,
@@ -473,6 +511,8 @@ QUERIES: dict[str, Query] = {
         density_labels_shifted,
         density_labels_with_outlier,
         capped_members,
+        capped_out,
+        failed_topics,
         cluster_measures,
         valid_clusters,
         rejected_clusters,
@@ -488,5 +528,6 @@ QUERIES: dict[str, Query] = {
         flagship,
         flagship_generated,
         flagship_statistics,
+        notebook_outputs,
     )
 }

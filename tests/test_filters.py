@@ -130,7 +130,7 @@ def test_optional_columns_and_switches(spark, log):
 def test_errors(spark, log):
     with pytest.raises(ValueError, match="table_name or df"):
         load_and_filter_queries()
-    with pytest.raises(ValueError, match="Missing required columns.*query"):
+    with pytest.raises(ValueError, match="lacks columns.*query"):
         load_and_filter_queries(df=log.drop("query"))
     with pytest.raises(ValueError, match="order column"):
         load_and_filter_queries(df=log, order_col="nothing")
