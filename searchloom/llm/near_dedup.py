@@ -159,24 +159,33 @@ def _crossing(share: int, slack: float):
         root = np.unique(np.array(group["root"].to_pylist(), object), return_inverse=True)[1]
         base = group["base"].to_numpy()
         nodes = group["node"].to_pylist()
-        pairs: list[tuple[bytes, bytes]] = []
+        firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left_out = False
         for i in np.flatnonzero(~base):
             fits = 100 * np.minimum(sizes, sizes[i]) >= share * np.maximum(sizes, sizes[i])
             others = np.flatnonzero((root != root[i]) & fits)
+            equal = (drawn[others] == drawn[i]).sum(1)
+            alike = equal >= (share / 100 - slack - 0.1) * drawn.shape[1]
+            others, equal = others[alike], equal[alike]
             if not len(others):
                 continue
-            same = np.broadcast_to(drawn[i], (len(others), drawn.shape[1]))
-            likely = estimate(same, drawn[others], np.full(len(others), sizes[i]), sizes[others])
-            order = np.argsort(-likely, kind="stable")
-            order = order[likely[order] >= share / 100 - slack]
-            taken: dict[int, int] = {}
-            for o in order.tolist():
-                r = int(root[others[o]])
-                if taken.get(r, 0) < most:
-                    taken[r] = taken.get(r, 0) + 1
-                    x, y = nodes[i], nodes[others[o]]
-                    pairs.append((min(x, y), max(x, y)))
+            order = np.lexsort((others, -equal, root[others]))
+            others = others[order]
+            begin = np.flatnonzero(np.append(True, np.diff(root[others]) != 0))
+            rank = np.arange(len(others)) - np.repeat(begin, np.diff(np.append(begin, len(others))))
+            left_out |= bool((rank >= most).any())
+            seconds.append(others[rank < most])
+            firsts.append(np.full(len(seconds[-1]), i))
+        x, y = np.concatenate(firsts), np.concatenate(seconds)
+        likely = [np.zeros(0)]
+        for at in range(0, len(x), 4096):
+            p, q = x[at : at + 4096], y[at : at + 4096]
+            likely.append(estimate(drawn[p], drawn[q], sizes[p], sizes[q]))
+        keep = np.flatnonzero(np.concatenate(likely) >= share / 100 - slack).tolist()
+        pairs = {tuple(sorted((nodes[x[k]], nodes[y[k]]))) for k in keep}
         a, b = zip(*pairs) if pairs else ((), ())
+        if left_out:  # a row without nodes says so
+            a, b = (*a, None), (*b, None)
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
@@ -252,7 +261,7 @@ def near_duplicates(
        Pairs the registers make likely are checked on full sets, which a second scan
        fetches for nodes in some bucket of two or more.
     3. Buckets that still hold several components are gone through in tiles: each node
-       meets its likeliest partners of every other component, 1, then 4, 16 ... of them,
+       meets its likeliest partners of every other component, 1, then 8, 64 ... of them,
        until no likely pair is left unchecked.  So no link found by a band is lost, and
        pairs are not formed within what has already grown together.
 
@@ -299,17 +308,17 @@ def near_duplicates(
     mixed = stage(_mixed(shared, roots, members), "mixed")
     partners = 1
     while not mixed.isEmpty():
-        more = _cross_pairs(mixed, share, SLACK, partners, tile)
-        more = stage(more.join(tried, ["a", "b"], "left_anti"), "crossing")
+        likely = stage(_cross_pairs(mixed, share, SLACK, partners, tile), "crossing")
+        more = likely.where(F.col("a").isNotNull()).join(tried, ["a", "b"], "left_anti")
         found = stage(verified(more, sets, share), "links")
-        tried = tried.unionByName(more)
         if not found.isEmpty():
             edges = edges.unionByName(found)
             roots = components(edges)
             mixed = stage(_mixed(shared, roots, members), "mixed")
-        elif _exhausted(mixed, partners):
-            break
-        partners *= 4
+        elif likely.where(F.col("a").isNull()).isEmpty():
+            break  # no node had more likely partners than it has met
+        tried = tried.unionByName(likely.where(F.col("a").isNotNull()))
+        partners *= 8
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("rows"))
@@ -429,9 +438,3 @@ def _mixed(shared: DataFrame, roots: DataFrame, members: DataFrame) -> DataFrame
         several, ["band", "value", "salt"], "left_semi"
     )
     return mixed.select("band", "value", "node", "root").join(members.select("node", "n", "bands"), "node")
-
-
-def _exhausted(mixed: DataFrame, partners: int) -> bool:
-    """Whether no component of a bucket has more members than each node has met of it."""
-    sizes = mixed.groupBy("band", "value", "root").agg(F.count(F.lit(1)).alias("size"))
-    return sizes.agg(F.max("size")).first()[0] <= partners
