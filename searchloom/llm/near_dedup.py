@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from searchloom.llm.bitmap import bits_set, collect_bitmap, split_by
 from searchloom.llm.blocks import LOWER, Block, Words, blocks, byte_class
 from searchloom.llm.components import components
-from searchloom.llm.setsketch import estimate, registers
+from searchloom.llm.setsketch import equal_share, estimate, registers
 from searchloom.llm.tables import id_text, numbered, text_key
 from searchloom.session import stage
 
@@ -148,54 +148,93 @@ def verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return with_both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a binary, b binary")
 
 
-def _crossing(share: int, slack: float):
-    """Best likely partners between components in one tile of a bucket."""
+def _registers(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    return np.asarray(flat, np.int64).reshape(rows, -1).view(np.uint16)
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values as equal numbers."""
+    return np.unique(np.array(column.to_pylist(), object), return_inverse=True)[1]
+
+
+def _promising(share: int, slack: float):
+    """The members of one tile that have a likely partner in another component."""
 
     def run(group: pa.Table) -> pa.Table:
-        most = group["partners"][0].as_py()
-        flat = group["bands"].combine_chunks().flatten()
-        drawn = np.asarray(flat, np.int64).reshape(group.num_rows, -1).view(np.uint16)
-        sizes = group["n"].to_numpy()
-        root = np.unique(np.array(group["root"].to_pylist(), object), return_inverse=True)[1]
-        base = group["base"].to_numpy()
-        nodes = group["node"].to_pylist()
-        firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        left_out = False
+        drawn, sizes = _registers(group["bands"], group.num_rows), group["n"].to_numpy()
+        root, base = _numbers(group["root"]), group["base"].to_numpy()
+        wanted = np.zeros(group.num_rows, bool)
         for i in np.flatnonzero(~base):
             fits = 100 * np.minimum(sizes, sizes[i]) >= share * np.maximum(sizes, sizes[i])
             others = np.flatnonzero((root != root[i]) & fits)
-            equal = (drawn[others] == drawn[i]).sum(1)
-            alike = equal >= (share / 100 - slack - 0.1) * drawn.shape[1]
-            others, equal = others[alike], equal[alike]
-            if not len(others):
-                continue
-            order = np.lexsort((others, -equal, root[others]))
-            others = others[order]
-            begin = np.flatnonzero(np.append(True, np.diff(root[others]) != 0))
-            rank = np.arange(len(others)) - np.repeat(begin, np.diff(np.append(begin, len(others))))
-            left_out |= bool((rank >= most).any())
-            seconds.append(others[rank < most])
-            firsts.append(np.full(len(seconds[-1]), i))
-        x, y = np.concatenate(firsts), np.concatenate(seconds)
-        likely = [np.zeros(0)]
-        for at in range(0, len(x), 4096):
-            p, q = x[at : at + 4096], y[at : at + 4096]
-            likely.append(estimate(drawn[p], drawn[q], sizes[p], sizes[q]))
-        keep = np.flatnonzero(np.concatenate(likely) >= share / 100 - slack).tolist()
-        pairs = {tuple(sorted((nodes[x[k]], nodes[y[k]]))) for k in keep}
-        a, b = zip(*pairs) if pairs else ((), ())
-        if left_out:  # a row without nodes says so
-            a, b = (*a, None), (*b, None)
+            equal = (drawn[others] == drawn[i]).mean(1)
+            likely = others[equal >= equal_share(share / 100 - slack, sizes[i], sizes[others])]
+            wanted[likely] = True
+            wanted[i] |= len(likely) > 0
+        return group.select(["band", "value", "tile", "node", "root", "base"]).filter(pa.array(wanted))
+
+    return run
+
+
+def _links(share: int, columns: int = 2048):
+    """Links between the components of one tile, enough to join those that are linked.
+
+    Shared shingles of all pairs are counted as products of a matrix of members by
+    shingles, over those shingles that two members hold.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()]
+        root, base, nodes = _numbers(group["root"]), group["base"].to_numpy(), group["node"].to_pylist()
+        sizes = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, element, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        twice = held[element] > 1
+        owner, element = owner[twice], np.unique(element[twice], return_inverse=True)[1]
+        order = np.argsort(element, kind="stable")
+        owner, element = owner[order], element[order]
+        left = np.flatnonzero(~base)
+        place = np.full(len(sets), -1)
+        place[left] = np.arange(len(left))
+        shared = np.zeros((len(left), len(sets)), np.float32)  # whole numbers below 2^24
+        for low in range(0, int(element[-1]) + 1 if len(element) else 0, columns):
+            a, b = np.searchsorted(element, (low, low + columns))
+            held_by = np.zeros((len(sets), columns), np.float32)
+            held_by[owner[a:b], element[a:b] - low] = 1.0
+            shared += held_by[left] @ held_by.T
+        union = sizes[left][:, None] + sizes[None, :] - shared
+        linked = (100.0 * shared >= share * union) & (root[left][:, None] != root[None, :])
+        x, y = np.nonzero(linked)
+        x = left[x]
+        low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        _, first = np.unique(low * (root.max() + 1) + high, return_index=True)
+        parent = list(range(int(root.max()) + 1))
+
+        def top(r: int) -> int:
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+
+        found = []
+        for i in first.tolist():
+            p, q = top(int(low[i])), top(int(high[i]))
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                found.append((nodes[x[i]], nodes[y[i]]))
+        a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
-def _cross_pairs(mixed: DataFrame, share: int, slack: float, partners: int, tile: int) -> DataFrame:
-    """Likely pairs across the components of each bucket, at most ``partners`` per node and component.
+def _cross_links(mixed: DataFrame, sets: DataFrame, share: int, slack: float, tile: int) -> DataFrame:
+    """Links across the components of each bucket, checked on full sets.
 
     In a bucket the members of its largest component are the base, dealt out in tiles
     of about ``tile``; the others meet every tile of the base and each other, also in tiles.
+    Registers come first: only members with a likely partner elsewhere bring their sets.
     """
     bucket = ["band", "value"]
     sizes = mixed.groupBy(*bucket, "root").agg(F.count(F.lit(1)).alias("size"))
@@ -209,29 +248,32 @@ def _cross_pairs(mixed: DataFrame, share: int, slack: float, partners: int, tile
         F.ceil((F.col("whole") - F.col("top.size")) / tile).cast("int").alias("other_tiles"),
     )
     salted = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    tiles = F.when(F.col("base"), F.col("base_tiles")).otherwise(F.col("other_tiles"))
     rows = (
         mixed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(8)).cast("int"))
         .join(salted, [*bucket, "salt"])
         .drop("salt")
         .withColumn("base", F.col("root") == F.col("top_root"))
-        .withColumn("mine", F.pmod(F.hash("node"), F.when(F.col("base"), F.col("base_tiles")).otherwise(F.col("other_tiles"))))
+        .withColumn("mine", F.pmod(F.hash("node"), tiles))
     )
+
+    def name(kind: int, x, y):
+        return (F.lit(kind).cast("bigint") * (1 << 60) + x.cast("bigint") * (1 << 30) + y.cast("bigint"))
+
     others = F.sequence(F.lit(0), F.col("other_tiles") - 1)
-    with_base = F.transform(
-        F.sequence(F.lit(0), F.col("base_tiles") - 1), lambda t: F.struct(F.lit(0).alias("kind"), t.alias("x"), F.col("mine").alias("y"))
-    )
-    among = F.transform(
-        others,
-        lambda t: F.struct(
-            F.lit(1).alias("kind"), F.least(t, F.col("mine")).alias("x"), F.greatest(t, F.col("mine")).alias("y")
-        ),
+    mine = F.col("mine")
+    with_base = F.transform(F.sequence(F.lit(0), F.col("base_tiles") - 1), lambda t: name(0, t, mine))
+    among = F.transform(others, lambda t: name(1, F.least(t, mine), F.greatest(t, mine)))
+    as_base = F.transform(others, lambda t: name(0, mine, t))
+    placed = rows.withColumn("tile", F.explode(F.when(F.col("base"), as_base).otherwise(F.concat(with_base, among))))
+    key = [*bucket, "tile"]
+    promising = stage(
+        placed.select(*key, "node", "root", "n", "bands", "base")
+        .groupBy(*key)
+        .applyInArrow(_promising(share, slack), "band int, value bigint, tile bigint, node binary, root binary, base boolean"),
+        "promising",
     )
-    as_base = F.transform(others, lambda t: F.struct(F.lit(0).alias("kind"), F.col("mine").alias("x"), t.alias("y")))
-    placed = rows.withColumn(
-        "tile", F.explode(F.when(F.col("base"), as_base).otherwise(F.concat(with_base, among)))
-    ).withColumn("partners", F.lit(partners))
-    grouped = placed.select(*bucket, "tile", "node", "root", "n", "bands", "base", "partners").groupBy(*bucket, "tile")
-    return grouped.applyInArrow(_crossing(share, slack), "a binary, b binary").distinct()
+    return promising.join(sets, "node").groupBy(*key).applyInArrow(_links(share), "a binary, b binary").distinct()
 
 
 def near_duplicates(
@@ -260,10 +302,10 @@ def near_duplicates(
     2. In each bucket of equal bands nodes meet the least node of their part of it.
        Pairs the registers make likely are checked on full sets, which a second scan
        fetches for nodes in some bucket of two or more.
-    3. Buckets that still hold several components are gone through in tiles: each node
-       meets its likeliest partners of every other component, 1, then 8, 64 ... of them,
-       until no likely pair is left unchecked.  So no link found by a band is lost, and
-       pairs are not formed within what has already grown together.
+    3. Buckets that still hold several components are gone through in tiles: members that
+       the registers give a likely partner in another component bring their full sets, and
+       a task counts what they share.  So no link found by a band is lost; pairs are not
+       formed within what has grown together, and no more links than components come out.
 
     Hot keys: buckets are joined over salted keys and their hubs split with their size;
     copies of one set over ``SALTS`` keys.
@@ -303,22 +345,11 @@ def near_duplicates(
 
     pairs = _likely(_hub_pairs(shared, tile), members, share)
     edges = stage(verified(pairs, sets, share), "links")
-    tried = stage(pairs.select("a", "b"), "tried")
     roots = components(edges)
     mixed = stage(_mixed(shared, roots, members), "mixed")
-    partners = 1
-    while not mixed.isEmpty():
-        likely = stage(_cross_pairs(mixed, share, SLACK, partners, tile), "crossing")
-        more = likely.where(F.col("a").isNotNull()).join(tried, ["a", "b"], "left_anti")
-        found = stage(verified(more, sets, share), "links")
-        if not found.isEmpty():
-            edges = edges.unionByName(found)
-            roots = components(edges)
-            mixed = stage(_mixed(shared, roots, members), "mixed")
-        elif likely.where(F.col("a").isNull()).isEmpty():
-            break  # no node had more likely partners than it has met
-        tried = tried.unionByName(likely.where(F.col("a").isNotNull()))
-        partners *= 8
+    found = stage(_cross_links(mixed, sets, share, SLACK, tile), "links")
+    if not found.isEmpty():
+        roots = components(edges.unionByName(found))
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("rows"))

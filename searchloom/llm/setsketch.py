@@ -66,3 +66,11 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
         + equal * np.log(np.maximum(1 - up - down, tiny))
     )
     return np.take_along_axis(j, likely.argmax(1)[:, None], 1)[:, 0]
+
+
+def equal_share(similarity: float, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """The share of registers that two sets of this similarity have equal on average."""
+    total = (size_a + size_b).astype(np.float64)
+    u, v = size_a / total, size_b / total
+    j = np.minimum(similarity, np.minimum(u / v, v / u))
+    return 1 - _p(np.maximum(u - v * j, 0)) - _p(np.maximum(v - u * j, 0))
