@@ -78,8 +78,11 @@ class FMIndex:
             live, symbol = live[known], symbol[known]
             if not len(live):
                 break
-            new_low = self.before[symbol] + self.matrix.rank(symbol, low[live])
-            new_high = self.before[symbol] + self.matrix.rank(symbol, high[live])
+            new_low, new_high = self.before[symbol], self.before[symbol + 1]
+            if step:
+                new_low, new_high = (
+                    new_low + self.matrix.rank(symbol, edge[live]) for edge in (low, high)
+                )
             found = new_low < new_high
             live = live[found]
             low[live], high[live] = new_low[found], new_high[found]

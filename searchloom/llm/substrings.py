@@ -18,7 +18,7 @@ from searchloom.session import stage
 WINDOW = 13
 ANCHOR = 5
 HOT = 2000  # documents from which on an anchor's windows go to shards one by one
-SHARD = 20_000  # segments in a shard
+SHARD = 6_000  # segments in a shard
 SALTS = 64
 ANCHOR_BITS, HOT_BITS, DOC_BITS = 26, 20, 24
 
@@ -52,50 +52,44 @@ class Anchors:
 
 
 def anchor_counts(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """``anchor, low, high, n``: the least and greatest id and the number of segments, per batch."""
+    """``anchor, n``: in how many documents of a batch an anchor occurs."""
 
     def count(batches):
         for batch in batches:
-            ids = batch.column(0)
-            valid = ids.is_valid().to_numpy(zero_copy_only=False)
-            ids = ids.fill_null(0).to_numpy()
-            hashes, docs_of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            hashes = [np.zeros(0, np.uint64)]
             for block in blocks(batch.column(2)):
                 found = Anchors(block, window, k)
                 use = valid[block.first + found.row]
-                hashes.append(found.hash[use])
-                docs_of.append(ids[block.first + found.row[use]])
-            hashes, docs_of = np.concatenate(hashes), np.concatenate(docs_of)
-            order = np.lexsort((docs_of, hashes))
-            hashes, docs_of = hashes[order], docs_of[order]
-            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else order
-            last = np.append(first[1:], len(hashes)) - 1 if len(hashes) else order
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes[first].view(np.int64)),
-                    pa.array(docs_of[first]),
-                    pa.array(docs_of[last]),
-                    pa.array((last - first + 1).astype(np.int64)),
-                ],
-                names=["anchor", "low", "high", "n"],
-            )
+                row, own = found.row[use], found.hash[use]
+                order = np.lexsort((own, row))
+                row, own = row[order], own[order]
+                new = np.ones(len(own), bool)
+                new[1:] = (np.diff(row) > 0) | (own[1:] != own[:-1])
+                hashes.append(own[new])
+            anchor, n = np.unique(np.concatenate(hashes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
 
-    return docs.mapInArrow(count, "anchor bigint, low bigint, high bigint, n bigint")
+    return docs.mapInArrow(count, "anchor bigint, n bigint")
 
 
-def segments(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, window: int, k: int) -> DataFrame:
-    """``doc_id, text_key, shard_key, start, digest, segment``: text around anchors of several documents.
+def segments(
+    docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, window: int, k: int, places: bool
+) -> DataFrame:
+    """Text around anchors of several documents: ``doc_id, shard_key, segment``.
 
     A segment holds the successive windows of one anchor, its words joined by spaces.
     Windows of hot anchors are segments of their own and dealt out by all their words,
     so that what surrounds a very frequent line does not meet in one shard.
+
+    With ``places`` it is ``doc_id, text_key, start, digest``: where each segment lies.
     """
     pointer = docs.sparkSession.sparkContext.broadcast((repeated, hot))
 
     def cut(batches):
         marked, frequent = pointer.value
         for batch in batches:
-            row, key, start, digest, text = [], [], [], [], []
+            row, key, start, text = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
             valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(2)):
                 found = Anchors(block, window, k)
@@ -108,34 +102,28 @@ def segments(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, window: int
                 each = np.repeat(found.first[single] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
                 first = np.concatenate([found.first[many], each])
                 last = np.concatenate([found.last[many], each]) + window
-                keys = np.concatenate([found.hash[many], whole[each]])
                 rows = np.searchsorted(words.first, first, "right") - 1
                 spaced = np.where(_SPACE[block.data], block.data, 0x20).astype(np.uint8).tobytes()
-                for r, f, a, b in zip(
-                    rows.tolist(), first.tolist(), words.starts[first].tolist(), words.ends[last - 1].tolist()
-                ):
-                    piece = spaced[a:b]
-                    if b"  " in piece:
-                        piece = b" ".join(piece.split())
-                    text.append(piece)
-                    digest.append(hashlib.blake2b(piece, digest_size=16).digest())
-                    start.append(f - int(words.first[r]))
-                    row.append(block.first + r)
-                key.append(keys.view(np.int64))
+                pieces = [
+                    spaced[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[last - 1].tolist())
+                ]
+                if b"  " in spaced:
+                    pieces = [b" ".join(p.split()) if b"  " in p else p for p in pieces]
+                text += [hashlib.md5(p).digest() for p in pieces] if places else pieces
+                start.append(first - words.first[rows])
+                row += (block.first + rows).tolist()
+                key.append(np.concatenate([found.hash[many], whole[each]]))
             at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(at),
-                    batch.column(1).take(at),
-                    pa.array(np.concatenate(key) if key else np.zeros(0, np.int64)),
-                    pa.array(start, pa.int32()),
-                    pa.array(digest, pa.binary()),
-                    pa.array(text, pa.binary()),
-                ],
-                names=["doc_id", "text_key", "shard_key", "start", "digest", "segment"],
-            )
-
-    schema = "doc_id bigint, text_key bigint, shard_key bigint, start int, digest binary, segment binary"
+            ids, texts = batch.column(0).take(at), pa.array(text, pa.binary())
+            if places:
+                starts = pa.array(np.concatenate(start).astype(np.int32))
+                columns = [ids, batch.column(1).take(at), starts, texts]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "start", "digest"])
+            else:
+                keys = pa.array(np.concatenate(key).view(np.int64))
+                yield pa.RecordBatch.from_arrays([ids, keys, texts], names=["doc_id", "shard_key", "segment"])
+
+    schema = "doc_id bigint, text_key bigint, start int, digest binary" if places else "doc_id bigint, shard_key bigint, segment binary"
     return docs.mapInArrow(cut, schema)
 
 
@@ -165,7 +153,7 @@ def _index_shard(window: int):
         offsets = np.concatenate([[0], np.cumsum(windows)]).astype(np.int32)
         return pa.table(
             {
-                "digest": shard["digest"].combine_chunks(),
+                "digest": pa.array([hashlib.md5(t).digest() for t in texts.to_pylist()], pa.binary()),
                 "earliest": pa.ListArray.from_arrays(pa.array(offsets), pa.array(earliest)),
                 "high": shard["high"].combine_chunks(),
                 "n": shard["n"].combine_chunks(),
@@ -197,19 +185,17 @@ def _salted(rows: DataFrame, hot: np.ndarray, spread: str | None) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, shard: int = SHARD) -> DataFrame:
     """``doc_id, text_key, starts``: the windows of each document that start in one of a smaller id.
 
-    ``docs`` has ``doc_id, text_key, text``.
+    ``starts`` is a set of ``(start, mask)``: bit i of the mask stands for the window at
+    word ``start + i``.  ``docs`` has ``doc_id, text_key, text``.
     """
-    counts = anchor_counts(docs, window, k).groupBy("anchor").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")
-    )
-    several = stage(counts.where(F.col("low") != F.col("high")).select(F.col("anchor").alias("hash"), "n"), "anchors")
+    counts = anchor_counts(docs, window, k).groupBy("anchor").agg(F.sum("n").alias("n"))
+    several = stage(counts.where(F.col("n") > 1).select(F.col("anchor").alias("hash"), "n"), "anchors")
     repeated = collect_bitmap(several.select("hash"), ANCHOR_BITS)
     hot = collect_bitmap(several.where(F.col("n") >= HOT).select("hash"), HOT_BITS)
-    cut = stage(segments(docs, repeated, hot, window, k), "segments")
     distinct = stage(
-        cut.groupBy("shard_key", "digest", "segment").agg(
-            F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")
-        ),
+        segments(docs, repeated, hot, window, k, False)
+        .groupBy("shard_key", "segment")
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")),
         "distinct-segments",
     )
     shards = max(1, -(-distinct.count() // shard))
@@ -221,14 +207,19 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, sha
     useful = stage(found.where(F.array_min("earliest") < F.col("high")), "earliest")
     frequent = useful.where(F.col("n") >= HOT).select(F.xxhash64("digest").alias("hash"))
     marked = collect_bitmap(frequent, HOT_BITS)
-    here = _salted(cut.select("doc_id", "text_key", "start", "digest"), marked, "doc_id")
+    here = _salted(segments(docs, repeated, hot, window, k, True), marked, "doc_id")
     there = _salted(useful.select("digest", "earliest"), marked, None)
-    met = here.join(there, ["digest", "salt"])
-    windows = met.select("doc_id", "text_key", "start", F.posexplode("earliest").alias("shift", "holder"))
+    # bit i of the mask: the window i words on has an earlier holder
+    mask = F.aggregate(
+        F.reverse("earliest"),
+        F.lit(0).cast("bigint"),
+        lambda m, holder: m * 2 + F.when(holder < F.col("doc_id"), F.lit(1)).otherwise(F.lit(0)),
+    )
+    met = here.join(there, ["digest", "salt"]).select("doc_id", "text_key", "start", mask.alias("mask"))
     return (
-        windows.where(F.col("holder") < F.col("doc_id"))
+        met.where(F.col("mask") != 0)
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_set(F.col("start") + F.col("shift")).alias("starts"))
+        .agg(F.collect_set(F.struct("start", "mask")).alias("starts"))
     )
 
 
@@ -236,21 +227,21 @@ def _kept_rows(texts, starts, window: int) -> tuple[list[int], list[int], list[b
     """Words, removed words and what is left, for the rows of one batch."""
     n_words, n_removed, left_over = [], [], []
     for block in blocks(texts):
-        words = Words(block, _SPACE)
-        data = block.data.tobytes()
         for row in range(block.rows):
-            a, b = int(words.first[row]), int(words.first[row + 1])
-            gone = np.zeros(b - a + 1, np.int64)
-            if starts is not None and (own := starts[block.first + row].as_py()):
-                at = np.array(own)
-                gone[at] += 1
-                np.subtract.at(gone, at + window, 1)
-            left = np.cumsum(gone)[:-1] == 0
-            kept = np.flatnonzero(left) + a
-            pieces = [data[x:y] for x, y in zip(words.starts[kept].tolist(), words.ends[kept].tolist())]
-            n_words.append(b - a)
-            n_removed.append(b - a - len(kept))
-            left_over.append(b" ".join(pieces))
+            words = block.text(row).split()  # bytes are split at ASCII white space
+            own = starts[block.first + row].as_py() if starts is not None else None
+            n_words.append(len(words))
+            if own:
+                start = np.array([x["start"] for x in own])
+                mask = np.array([x["mask"] for x in own])
+                gone = np.zeros(len(words) + 1, np.int64)
+                for shift in range(int(mask.max()).bit_length()):
+                    at = start[(mask >> shift) & 1 == 1] + shift
+                    np.add.at(gone, at, 1)
+                    np.subtract.at(gone, at + window, 1)
+                words = [words[i] for i in np.flatnonzero(np.cumsum(gone)[:-1] == 0).tolist()]
+            n_removed.append(n_words[-1] - len(words))
+            left_over.append(b" ".join(words))
     return n_words, n_removed, left_over
 
 
