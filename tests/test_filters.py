@@ -121,7 +121,7 @@ def test_optional_columns_and_switches(spark, log):
     assert sorted(rows) == [1, 7, 8, 9, 10, 11, 13]
     assert rows[1].user == "unknown" and rows[1].topics == []
     named = log.select("query_id", "query", "topic", F.col("user_id").alias("user"))
-    assert {r.user for r in load_and_filter_queries(df=named).collect()} == {"u1", "u9", "u2", None}
+    assert {r.user for r in load_and_filter_queries(df=named, language_filter=False).collect()} == {"u1", "u9", "u2", None}
     everything = LoadConfig(min_length=0, require_topics=False, language_filter=False)
     reasons = {r.query_id: r.drop_reason for r in mark_drops(log, everything).collect()}
     assert {k: v for k, v in reasons.items() if v} == {4: "blank", 5: "no_alnum", 6: "no_alnum"}
@@ -174,7 +174,7 @@ def test_language_filter_is_counted(spark):
     with_model = filter_audit(log, LoadConfig(), model).first()
     assert with_model.removed_language > 0
     assert filter_queries(log, LoadConfig(), model).count() == with_model.final
-    assert filter_audit(log, LoadConfig()).first().removed_language == 0
+    assert filter_audit(log, NO_LANGUAGE).first().removed_language == 0
 
 
 def test_profile(spark, log):

@@ -137,7 +137,7 @@ def planted_log(spark):
 def test_run_to_a_table(spark, tmp_path):
     planted_log(spark).createOrReplaceTempView("planted_log")
     result = run_pipeline(
-        "planted_log", "planted_seo", queries_per_cluster=2, output_path=f"{tmp_path}/seo"
+        "planted_log", "planted_seo", queries_per_cluster=2, output_path=f"{tmp_path}/seo", language_filter=False
     )
     stats = result.statistics.first()
     assert stats.total_queries == 27 and stats.valid_clusters >= 3
@@ -153,11 +153,15 @@ def test_run_to_a_table(spark, tmp_path):
 
 def test_run_on_a_frame_writes_all_outputs(spark, tmp_path):
     result = run_pipeline_from_notebook(
-        planted_log(spark), f"{tmp_path}/out", generator=lambda prompt: "a question\nanother"
+        planted_log(spark), f"{tmp_path}/out", generator=lambda prompt: "a question\nanother", language_filter=False
     )
     assert {r.seo_query for r in result.seo_queries.collect()} == {"a question"}
     clustered = read_csv_dbfs(spark, f"{tmp_path}/out/clustered_queries.csv")
     assert clustered.count() == 27
+    audit = result.audit.first()
+    assert audit.final == 27 == audit.original - audit.removed_duplicates - audit.removed_length
+    assert result.failed_topics.count() == 0
+    assert result.assignments.count() == 27 and "query_id" in result.assignments.columns
     meta = read_json_dbfs(
         spark, f"{tmp_path}/out/cluster_metadata.json", schemas.CLUSTER_METADATA
     )
@@ -178,7 +182,7 @@ def test_run_without_clusters_and_without_rows(spark, tmp_path):
         "en_-1", "fr_-1", "de_-1", "es_-1",
     }
     with pytest.raises(ValueError, match="No queries remain"):
-        run_pipeline(df=log, min_length=10**9)
+        run_pipeline(df=log, min_length=10**9, language_filter=False)
     with pytest.raises(ValueError, match="input_table or df"):
         run_pipeline()
     with pytest.raises(TypeError, match="batchsize"):
