@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from searchloom.llm.blocks import Block, blocks
-from searchloom.llm.tables import id_text
+from searchloom.llm.tables import bounded_sample, id_text
 from searchloom.llm.tagger import PAD, Tagger, codes, fit_tagger
 from searchloom.session import stage
 
@@ -145,11 +145,11 @@ def fit_personal(docs: DataFrame, per_kind: int = PER_KIND, epochs: int = 8) ->
                 names=["x", "y", "kind"],
             )
 
-    windows = stage(id_text(docs).mapInArrow(cut, "x binary, y binary, kind int"), "tagger-windows")
-    windows = windows.dropDuplicates(["x", "y"])
+    cut_out = id_text(docs).mapInArrow(cut, "x binary, y binary, kind int")
+    windows = stage(cut_out.groupBy("x", "y").agg(F.min("kind").alias("kind")), "tagger-windows")
     x, y, found = [], [], 0
     for kind in range(-1, len(KINDS)):
-        rows = windows.where(F.col("kind") == kind).orderBy(F.xxhash64("x"), "x", "y").limit(per_kind).collect()
+        rows = bounded_sample(windows.where(F.col("kind") == kind), F.xxhash64("x", "y"), per_kind).collect()
         found += len(rows) if kind >= 0 else 0
         x += [np.frombuffer(r["x"], np.uint8) for r in rows]
         y += [np.frombuffer(r["y"], np.uint8) for r in rows]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from searchloom.llm.blocks import blocks
 from searchloom.llm.network import Network, fit_network
 from searchloom.llm.random_index import context_sums, pooled, word_vectors
-from searchloom.llm.tables import id_text
+from searchloom.llm.tables import bounded_sample, id_text
 
 SAMPLE = 20_000  # labelled documents the network is fitted on at most
 LEAST = 0.3
@@ -28,15 +28,14 @@ def labelled_sample(labels: DataFrame, sample: int, label_col: str) -> DataFrame
     judged = labels.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label")
     )
-    return (
+    known = (
         judged.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out())
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.max("label").alias("most"))
         .where(F.col("label") == F.col("most"))
         .select("doc_id", "label")
-        .orderBy(F.xxhash64("doc_id"))
-        .limit(sample)
     )
+    return bounded_sample(known, F.xxhash64("doc_id"), sample)
 
 
 class QualityModel:
@@ -74,11 +73,12 @@ def fit_quality(
         texts.join(chosen, "doc_id")
         .select("doc_id", "label", "text")
         .mapInArrow(pool, "doc_id bigint, label int, x array<float>")
-        .toPandas()
+        .toArrow()
     )
-    x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), -1) if len(rows) else np.zeros((0, 4 * 32 + 1))
-    order = np.lexsort((*x.T[:3], rows["doc_id"].to_numpy(np.int64)))
-    y = (rows["label"].to_numpy(np.int64) > 0).astype(np.float64)
+    width = 2 * vectors.shape[1] + 1
+    x = rows["x"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, width)
+    order = np.lexsort((*x.T[:3], rows["doc_id"].to_numpy()))
+    y = (rows["label"].to_numpy() > 0).astype(np.float64)
     return QualityModel(vectors, fit_network(x[order], y[order]))
 
 

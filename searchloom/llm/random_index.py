@@ -97,9 +97,9 @@ def context_sums(docs: DataFrame, buckets: int = BUCKETS, dim: int = DIM) -> np.
 
     schema = "bucket bigint, " + ", ".join(f"{n} double" for n in names)
     summed = docs.select("text").mapInArrow(count, schema).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
-    rows = summed.toPandas()  # a row per bucket at most
+    rows = summed.toArrow()  # a row per bucket at most
     out = np.zeros((buckets, dim))
-    out[rows["bucket"].to_numpy(np.int64)] = rows[names].to_numpy()
+    out[rows["bucket"].to_numpy()] = np.stack([rows[n].to_numpy() for n in names], 1)
     return out
 
 

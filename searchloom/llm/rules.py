@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from searchloom.llm.blocks import BYTE_VALUES, Block, Words, blocks, byte_class, span_hashes
 from searchloom.llm.boosting import Forest, fit_forest
-from searchloom.llm.tables import id_text, text_key
+from searchloom.llm.tables import bounded_sample, id_text, text_key
 from searchloom.session import stage
 
 SYMBOLS = b"#*$%&|<>"
@@ -163,15 +163,10 @@ def fit_rules(counted: DataFrame, labels: DataFrame, sample: int = SAMPLE, label
         .where(F.col("label") == F.col("most"))
         .drop("most")
     )
-    chosen = (
-        counted.join(judged, "doc_id")
-        .orderBy(F.xxhash64("doc_id", "text_key"))
-        .limit(sample)
-        .select("label", *COUNTS, *MORE)
-        .toPandas()
-    )
+    rows = bounded_sample(counted.join(judged, "doc_id"), F.xxhash64("doc_id", "text_key"), sample)
+    chosen = rows.select("label", *COUNTS, *MORE).toArrow()
     x = features({n: chosen[n].to_numpy() for n in (*COUNTS, *MORE)})
-    y = (chosen["label"].to_numpy(np.int64) > 0).astype(float)
+    y = (chosen["label"].to_numpy() > 0).astype(float)
     return fit_forest(x, y, np.array([s for _, s in FEATURES]))
 
 
