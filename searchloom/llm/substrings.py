@@ -9,16 +9,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from searchloom.llm.bitmap import bits_set, collect_bitmap
+from searchloom.llm.bitmap import bits_set, collect_bitmap, split_by
 from searchloom.llm.blocks import Block, Words, blocks, byte_class
 from searchloom.llm.fm_index import FMIndex
 from searchloom.llm.tables import id_text, text_key
-from searchloom.session import stage
+from searchloom.session import shuffle_partitions, stage
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 4
 HOT = 2000  # documents from which on an anchor's windows go to shards one by one
-SHARD = 6_000  # segments in a shard
+SHARD = 12_000  # segments in a shard, equal ones counted as often as they occur
 SALTS = 64
 ANCHOR_BITS, HOT_BITS, DOC_BITS = 26, 20, 24
 
@@ -74,20 +74,27 @@ def anchor_counts(docs: DataFrame, window: int, k: int) -> DataFrame:
 
 
 def segments(
-    docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, window: int, k: int, places: bool
+    docs: DataFrame,
+    repeated: np.ndarray,
+    hot: np.ndarray,
+    window: int,
+    k: int,
+    places: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> DataFrame:
-    """Text around anchors of several documents: ``doc_id, shard_key, segment``.
+    """Text around anchors of several documents: ``shard_key, segment, low, high, n``.
 
     A segment holds the successive windows of one anchor, its words joined by spaces.
     Windows of hot anchors are segments of their own and dealt out by all their words,
-    so that what surrounds a very frequent line does not meet in one shard.
+    so that what surrounds a very frequent line does not meet in one shard.  Equal
+    segments of a batch are one row with the least and greatest id and their number.
 
-    With ``places`` it is ``doc_id, text_key, start, digest``: where each segment lies.
+    With ``places`` it is ``doc_id, text_key, start, digest, salt``: where the segments lie
+    that the first bitmap marks; those the second marks are dealt out over salts.
     """
-    pointer = docs.sparkSession.sparkContext.broadcast((repeated, hot))
+    pointer = docs.sparkSession.sparkContext.broadcast((repeated, hot, places))
 
     def cut(batches):
-        marked, frequent = pointer.value
+        marked, frequent, wanted = pointer.value
         for batch in batches:
             row, key, start, text = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
             valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
@@ -109,22 +116,37 @@ def segments(
                 ]
                 if b"  " in spaced:
                     pieces = [b" ".join(p.split()) if b"  " in p else p for p in pieces]
-                text += [hashlib.md5(p).digest() for p in pieces] if places else pieces
+                text += [hashlib.md5(p).digest() for p in pieces] if wanted else pieces
                 start.append(first - words.first[rows])
                 row += (block.first + rows).tolist()
                 key.append(np.concatenate([found.hash[many], whole[each]]))
-            at = pa.array(row, pa.int64())
-            ids, texts = batch.column(0).take(at), pa.array(text, pa.binary())
-            if places:
-                starts = pa.array(np.concatenate(start).astype(np.int32))
-                columns = [ids, batch.column(1).take(at), starts, texts]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "start", "digest"])
-            else:
-                keys = pa.array(np.concatenate(key).view(np.int64))
-                yield pa.RecordBatch.from_arrays([ids, keys, texts], names=["doc_id", "shard_key", "segment"])
-
-    schema = "doc_id bigint, text_key bigint, start int, digest binary" if places else "doc_id bigint, shard_key bigint, segment binary"
-    return docs.mapInArrow(cut, schema)
+            ids = batch.column(0).take(pa.array(row, pa.int64()))
+            if wanted:
+                mark = _mark(text)
+                row, at = np.array(row, np.int64), np.concatenate(start)
+                spread = (row * 7919 + at) % SALTS
+                columns = [
+                    ids,
+                    batch.column(1).take(pa.array(row)),
+                    pa.array(at.astype(np.int32)),
+                    pa.array(text, pa.binary()),
+                    pa.array(np.where(bits_set(wanted[1], mark), spread, 0).astype(np.int32)),
+                ]
+                found_places = pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "start", "digest", "salt"])
+                yield found_places.filter(pa.array(bits_set(wanted[0], mark)))
+                continue
+            held: dict[bytes, list[int]] = {}
+            for piece, doc, shard_key in zip(text, ids.to_pylist(), np.concatenate(key).view(np.int64).tolist()):
+                one = held.setdefault(piece, [shard_key, doc, doc, 0])
+                one[1], one[2], one[3] = min(one[1], doc), max(one[2], doc), one[3] + 1
+            numbers = list(zip(*held.values())) or [(), (), (), ()]
+            columns = [pa.array(numbers[0], pa.int64()), pa.array(held.keys(), pa.binary())]
+            columns += [pa.array(c, pa.int64()) for c in numbers[1:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard_key", "segment", "low", "high", "n"])
+
+    schema = "shard_key bigint, segment binary, low bigint, high bigint, n bigint"
+    at_places = "doc_id bigint, text_key bigint, start int, digest binary, salt int"
+    return docs.mapInArrow(cut, at_places if places else schema)
 
 
 def _index_shard(window: int):
@@ -151,9 +173,11 @@ def _index_shard(window: int):
             raise RuntimeError("a window is not found in its own shard")
         earliest = index.least(np.repeat(owners, counts + 1), low, high)
         offsets = np.concatenate([[0], np.cumsum(windows)]).astype(np.int32)
+        digests = [hashlib.md5(t).digest() for t in texts.to_pylist()]
         return pa.table(
             {
-                "digest": pa.array([hashlib.md5(t).digest() for t in texts.to_pylist()], pa.binary()),
+                "digest": pa.array(digests, pa.binary()),
+                "mark": pa.array(_mark(digests).view(np.int64)),
                 "earliest": pa.ListArray.from_arrays(pa.array(offsets), pa.array(earliest)),
                 "high": shard["high"].combine_chunks(),
                 "n": shard["n"].combine_chunks(),
@@ -163,23 +187,16 @@ def _index_shard(window: int):
     return run
 
 
-def _salted(rows: DataFrame, hot: np.ndarray, spread: str | None) -> DataFrame:
-    """Add ``salt``: rows of a hot digest get one by ``spread``, or all of them where it is None."""
-    pointer = rows.sparkSession.sparkContext.broadcast(hot)
-    names = rows.columns
+def _mark(digests: list[bytes]) -> np.ndarray:
+    """The first half of each digest, as a hash for bitmaps."""
+    return np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
 
-    def mark(batches):
-        for batch in batches:
-            flags = bits_set(pointer.value, batch.column(len(names)).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(flags)], names=[*names, "hot"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    marked = rows.withColumn("_mark", F.xxhash64("digest")).mapInArrow(mark, f"{kinds}, hot boolean")
-    if spread is None:
-        every = F.sequence(F.lit(0), F.when(F.col("hot"), SALTS - 1).otherwise(0))
-        return marked.withColumn("salt", F.explode(every)).drop("hot")
-    one = F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0)
-    return marked.withColumn("salt", one).drop("hot")
+def _salts_of(rows: DataFrame, hot: np.ndarray) -> DataFrame:
+    """Repeat rows whose mark the bitmap holds under every ``salt``; the others have salt 0."""
+    plain, frequent = split_by(rows, F.col("mark"), hot)
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return plain.withColumn("salt", F.lit(0)).unionByName(frequent.withColumn("salt", every))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, shard: int = SHARD) -> DataFrame:
@@ -192,23 +209,27 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, sha
     several = stage(counts.where(F.col("n") > 1).select(F.col("anchor").alias("hash"), "n"), "anchors")
     repeated = collect_bitmap(several.select("hash"), ANCHOR_BITS)
     hot = collect_bitmap(several.where(F.col("n") >= HOT).select("hash"), HOT_BITS)
-    distinct = stage(
-        segments(docs, repeated, hot, window, k, False)
-        .groupBy("shard_key", "segment")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")),
-        "distinct-segments",
-    )
-    shards = max(1, -(-distinct.count() // shard))
+    # a segment per anchor and document at most, where no anchor is hot
+    total = several.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards = max(1, -(-total // shard))
+    tasks = max(shuffle_partitions(docs.sparkSession), -(-shards // 8))
+    # one exchange, by shard, serves both the aggregation and the index
     found = (
-        distinct.withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards)))
+        segments(docs, repeated, hot, window, k)
+        .withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards)))
+        .drop("shard_key")
+        .repartition(tasks, "shard")
+        .groupBy("shard", "segment")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
         .groupBy("shard")
-        .applyInArrow(_index_shard(window), "digest binary, earliest array<bigint>, high bigint, n bigint")
+        .applyInArrow(_index_shard(window), "digest binary, mark bigint, earliest array<bigint>, high bigint, n bigint")
     )
     useful = stage(found.where(F.array_min("earliest") < F.col("high")), "earliest")
-    frequent = useful.where(F.col("n") >= HOT).select(F.xxhash64("digest").alias("hash"))
-    marked = collect_bitmap(frequent, HOT_BITS)
-    here = _salted(segments(docs, repeated, hot, window, k, True), marked, "doc_id")
-    there = _salted(useful.select("digest", "earliest"), marked, None)
+    marks = useful.select(F.col("mark").alias("hash"), "n")
+    wanted = collect_bitmap(marks.select("hash"), ANCHOR_BITS)
+    frequent = collect_bitmap(marks.where(F.col("n") >= HOT).select("hash"), HOT_BITS)
+    here = segments(docs, repeated, hot, window, k, (wanted, frequent))
+    there = _salts_of(useful.select("digest", "earliest", "mark"), frequent).drop("mark")
     # bit i of the mask: the window i words on has an earlier holder
     mask = F.aggregate(
         F.reverse("earliest"),
