@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from searchloom.llm.tables import text_batches
+
 
 def collect_bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of ``2 ** bits`` bits from a column ``hash``.
@@ -36,7 +38,7 @@ def bits_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def split_by(rows: DataFrame, mark: Column, bitmap: np.ndarray) -> tuple[DataFrame, DataFrame]:
     """The rows whose mark the bitmap lacks, and those whose mark it may hold."""
-    pointer = rows.sparkSession.sparkContext.broadcast(bitmap)
+    pointer = text_batches(rows).sparkSession.sparkContext.broadcast(bitmap)
     name = f"mark_{uuid.uuid4().hex}"
     marked = rows.select("*", mark.alias(name))
 

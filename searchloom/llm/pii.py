@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from searchloom.llm.blocks import Block, blocks
-from searchloom.llm.tables import bounded_sample, id_text
+from searchloom.llm.tables import bounded_sample, id_text, text_batches
 from searchloom.llm.tagger import PAD, Tagger, codes, fit_tagger
 from searchloom.session import stage
 
@@ -309,7 +309,7 @@ def redact_personal(docs: DataFrame, tagger: Tagger | None, text_col: str = "tex
 
     Texts without any, null and empty ones stay as they are, as do all other columns.
     """
-    pointer = docs.sparkSession.sparkContext.broadcast(tagger)
+    pointer = text_batches(docs).sparkSession.sparkContext.broadcast(tagger)
     names = docs.columns
     at = names.index(text_col)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from searchloom.llm.blocks import blocks
 from searchloom.llm.network import Network, fit_network
 from searchloom.llm.random_index import context_sums, pooled, word_vectors
-from searchloom.llm.tables import bounded_sample, id_text
+from searchloom.llm.tables import bounded_sample, id_text, text_batches
 
 SAMPLE = 20_000  # labelled documents the network is fitted on at most
 LEAST = 0.3
@@ -84,7 +84,7 @@ def fit_quality(
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``quality_score`` from 0 to 1; a column of that name is replaced."""
-    pointer = docs.sparkSession.sparkContext.broadcast(model)
+    pointer = text_batches(docs).sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("quality_score")
     names = kept.columns
     at = names.index(text_col)
@@ -100,7 +100,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
 
 def keep_quality(docs: DataFrame, model: QualityModel, least: float = LEAST, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` the model gives at least ``least``; all columns stay as they are."""
-    pointer = docs.sparkSession.sparkContext.broadcast(model)
+    pointer = text_batches(docs).sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def keep(batches):

@@ -20,6 +20,7 @@ ANCHOR = 4
 HOT = 2000  # documents from which on an anchor's windows go to shards one by one
 SHARD = 12_000  # segments in a shard, equal ones counted as often as they occur
 SALTS = 64
+HELD_ANCHORS, HELD_SEGMENTS = 2_000_000, 150_000  # what a task combines at a time
 ANCHOR_BITS, HOT_BITS, DOC_BITS = 26, 20, 24
 
 _SPACE = byte_class("space")
@@ -52,12 +53,16 @@ class Anchors:
 
 
 def anchor_counts(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """``anchor, n``: in how many documents of a batch an anchor occurs."""
+    """``anchor, n``: in how many documents an anchor occurs, some two million anchors at a time."""
+
+    def counted(hashes: list[np.ndarray]) -> pa.RecordBatch:
+        anchor, n = np.unique(np.concatenate(hashes), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
 
     def count(batches):
+        hashes = [np.zeros(0, np.uint64)]
         for batch in batches:
             valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-            hashes = [np.zeros(0, np.uint64)]
             for block in blocks(batch.column(2)):
                 found = Anchors(block, window, k)
                 use = valid[block.first + found.row]
@@ -67,8 +72,10 @@ def anchor_counts(docs: DataFrame, window: int, k: int) -> DataFrame:
                 new = np.ones(len(own), bool)
                 new[1:] = (np.diff(row) > 0) | (own[1:] != own[:-1])
                 hashes.append(own[new])
-            anchor, n = np.unique(np.concatenate(hashes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+            if sum(map(len, hashes)) > HELD_ANCHORS:
+                yield counted(hashes)
+                hashes = [np.zeros(0, np.uint64)]
+        yield counted(hashes)
 
     return docs.mapInArrow(count, "anchor bigint, n bigint")
 
@@ -86,7 +93,8 @@ def segments(
     A segment holds the successive windows of one anchor, its words joined by spaces.
     Windows of hot anchors are segments of their own and dealt out by all their words,
     so that what surrounds a very frequent line does not meet in one shard.  Equal
-    segments of a batch are one row with the least and greatest id and their number.
+    segments of a task, as far as it can hold them, are one row with the least and greatest
+    id and their number.
 
     With ``places`` it is ``doc_id, text_key, start, digest, salt``: where the segments lie
     that the first bitmap marks; those the second marks are dealt out over salts.
@@ -95,6 +103,15 @@ def segments(
 
     def cut(batches):
         marked, frequent, wanted = pointer.value
+        held: dict[bytes, list[int]] = {}
+
+        def rows_held() -> pa.RecordBatch:
+            numbers = list(zip(*held.values())) or [(), (), (), ()]
+            columns = [pa.array(numbers[0], pa.int64()), pa.array(list(held), pa.binary())]
+            columns += [pa.array(c, pa.int64()) for c in numbers[1:]]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["shard_key", "segment", "low", "high", "n"])
+
         for batch in batches:
             row, key, start, text = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
             valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
@@ -135,14 +152,13 @@ def segments(
                 found_places = pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "start", "digest", "salt"])
                 yield found_places.filter(pa.array(bits_set(wanted[0], mark)))
                 continue
-            held: dict[bytes, list[int]] = {}
             for piece, doc, shard_key in zip(text, ids.to_pylist(), np.concatenate(key).view(np.int64).tolist()):
                 one = held.setdefault(piece, [shard_key, doc, doc, 0])
                 one[1], one[2], one[3] = min(one[1], doc), max(one[2], doc), one[3] + 1
-            numbers = list(zip(*held.values())) or [(), (), (), ()]
-            columns = [pa.array(numbers[0], pa.int64()), pa.array(held.keys(), pa.binary())]
-            columns += [pa.array(c, pa.int64()) for c in numbers[1:]]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard_key", "segment", "low", "high", "n"])
+            if len(held) > HELD_SEGMENTS:
+                yield rows_held()
+        if held:
+            yield rows_held()
 
     schema = "shard_key bigint, segment binary, low bigint, high bigint, n bigint"
     at_places = "doc_id bigint, text_key bigint, start int, digest binary, salt int"

@@ -13,9 +13,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """Hand texts to Python some 8 MB at a time, unless the session says otherwise."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) is None:
+        conf.set(BATCH_BYTES, str(8 << 20))
+    return df
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id, as a long, and the text, whatever else the table holds."""
-    return docs.select(
+    return text_batches(docs).select(
         docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].cast("string").alias("text")
     )
 
