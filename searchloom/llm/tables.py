@@ -17,10 +17,10 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def text_batches(df: DataFrame) -> DataFrame:
-    """Hand texts to Python some 8 MB at a time, unless the session says otherwise."""
+    """Hand texts to Python some 2 MB at a time, unless the session says otherwise."""
     conf = df.sparkSession.conf
     if conf.get(BATCH_BYTES, None) is None:
-        conf.set(BATCH_BYTES, str(8 << 20))
+        conf.set(BATCH_BYTES, str(2 << 20))
     return df
 
 
