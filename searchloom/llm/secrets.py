@@ -19,8 +19,8 @@ BASE = (("assign", ASSIGN, 2, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex",
 #: Leaves the scan only matches that can pass; access and hex runs are taken whole anyway.
 SCAN = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 
-#: Runs of 16 or more that begin where no such run goes on and hold a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: Runs of 16 or more that begin where no such run goes on.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
 RANDOM = "random"
 KINDS = [k for k, *_ in BASE] + [RANDOM]
 
@@ -28,8 +28,12 @@ _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvw
 
 #: Encodings, tried in order: the characters and the alphabet in the order of its values.
 ENCODINGS = (
+    ("digits", r"^[0-9]+=*$", _DIGITS),
     ("hex", r"^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("HEX", r"^[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    ("capitals", r"^[A-Z]+=*$", _UPPER),
+    ("small", r"^[a-z]+=*$", _LOWER),
+    ("letters", r"^[A-Za-z]+=*$", _UPPER + _LOWER),
     ("base32", r"^[A-Z2-7]+=*$", _UPPER + "234567"),
     ("base36", r"^[0-9a-z]+$", _DIGITS + _LOWER),
     ("base62", r"^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER),
@@ -95,7 +99,7 @@ def _tail(z: Column) -> Column:
 
 
 def _encoded(rows: DataFrame) -> DataFrame:
-    """Infer the encoding; tokens of digits alone have none."""
+    """Infer the encoding."""
     body = F.rtrim(F.col("part"), F.lit("="))
     name = F.when(F.lit(False), F.lit(""))
     letters = F.lit(None).cast("string")
@@ -103,9 +107,8 @@ def _encoded(rows: DataFrame) -> DataFrame:
         fits = F.rlike(F.col("part"), F.lit(pattern))
         name = F.when(fits, encoding).otherwise(name)
         letters = F.when(fits, alphabet).otherwise(letters)
-    digits_only = F.rlike(F.col("part"), F.lit(r"^[0-9]+=*$"))
     return (
-        rows.withColumn("encoding", F.when(~digits_only, name))
+        rows.withColumn("encoding", name)
         .where(F.col("encoding").isNotNull())
         .withColumn("alphabet", letters)
         .withColumn("chars", F.split(body, ""))
