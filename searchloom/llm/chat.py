@@ -5,7 +5,8 @@ All of it is DataFrame functions.  Template, per turn::
     <|im_start|>ROLE\\nCONTENT<|im_end|>\\n
 
 ``\\`` in a role or text is doubled, then ``<|`` becomes ``<\\|`` (and a line feed in
-a role ``<\\/``), so a text can hold no marker and everything can be read back.
+a role ``<\\/``), so a text can hold no marker and everything can be read back.  A ``<``
+that ends a part with more parts after it becomes ``<\\.``, so neither do parts joined.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
+    marks = F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("<\\."), F.lit("<"))
+    return F.replace(marks, F.lit("\\\\"), F.lit("\\"))
 
 
 def escape_role(role: Column) -> Column:
@@ -52,18 +54,30 @@ def _tokens(part: Column) -> Column:
     return count
 
 
-def _visit(part: Column) -> Column:
+def _visit(part: Column, last: Column) -> Column:
     """What a part becomes in the string: a placeholder, or its escaped text."""
     marker = F.concat(F.lit("<|"), part["kind"], F.lit("|>"))
-    return F.when(_attachment_kind(part), marker).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+    text = escape(F.coalesce(part["text"], F.lit("")))
+    text = F.when(F.endswith(text, F.lit("<")) & ~last, F.concat(text, F.lit("\\."))).otherwise(text)
+    return F.when(_attachment_kind(part), marker).otherwise(text)
 
 
-def _placed(parts: Column) -> Column:
-    """Each part with what it becomes and where that begins in the turn's content."""
+def _visited(parts: Column) -> Column:
+    """What each part becomes; whether one is the last tells if a ``<`` at its end is left open."""
+    return F.transform(parts, lambda part, i: _visit(part, i + 1 == F.size(parts)))
+
+
+def _placed(parts: Column, visited: Column) -> Column:
+    """Each part with the place and length of what it becomes in the turn's content."""
     empty = F.array().cast("array<struct<part:int,kind:string,ref:string,tokens:bigint,at:bigint,length:bigint>>")
+    sized = F.zip_with(
+        parts,
+        visited,
+        lambda part, string: F.struct(part.alias("part"), F.length(string).cast("bigint").alias("length")),
+    )
 
-    def add(state: Column, part: Column) -> Column:
-        size = F.length(_visit(part)).cast("bigint")
+    def add(state: Column, one: Column) -> Column:
+        part, size = one["part"], one["length"]
         one = F.struct(
             F.size(state["done"]).alias("part"),
             part["kind"].alias("kind"),
@@ -75,7 +89,7 @@ def _placed(parts: Column) -> Column:
         return F.struct((state["at"] + size).alias("at"), F.array_append(state["done"], one).alias("done"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("done"))
-    return F.aggregate(parts, start, add, lambda state: state["done"])
+    return F.aggregate(sized, start, add, lambda state: state["done"])
 
 
 def format_chats(
@@ -111,49 +125,35 @@ def format_chats(
     )
     learned = F.col("role") == learn_role
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    if parts_col:
-        one_text = F.array(
-            F.struct(
-                F.lit(TEXT).alias("kind"),
-                F.col("text"),
-                F.lit(None).cast("string").alias("ref"),
-                F.lit(None).cast("bigint").alias("units"),
-            )
-        ).cast(PARTS)
-        base = base.withColumn("parts", F.coalesce("parts", one_text))
-        placed = F.col("placed")
-        shaped = (
-            base.withColumn("content", F.array_join(F.transform("parts", _visit), ""))
-            .withColumn("placed", _placed(F.col("parts")))
-            .withColumn(
-                "files",
-                F.transform(
-                    F.filter(placed, _attachment_kind),
-                    lambda p: F.struct(p["part"], p["kind"], p["ref"], p["tokens"], p["at"]),
-                ).cast(ATTACHMENTS),
-            )
-            .withColumn(
-                "learn",
-                F.transform(
-                    F.filter(placed, lambda p: ~F.coalesce(_attachment_kind(p), F.lit(False))),
-                    lambda p: F.struct(p["at"], p["length"]),
-                ).cast(SPANS),
-            )
+    one_text = F.array(
+        F.struct(
+            F.lit(TEXT).alias("kind"),
+            F.col("text"),
+            F.lit(None).cast("string").alias("ref"),
+            F.lit(None).cast("bigint").alias("units"),
         )
-    else:
-        shaped = (
-            base.withColumn("content", escape(F.col("text")))
-            .withColumn("files", F.array().cast(ATTACHMENTS))
-            .withColumn(
-                "learn",
-                F.array(
-                    F.struct(
-                        F.lit(0).cast("bigint").alias("at"),
-                        F.length("content").cast("bigint").alias("length"),
-                    )
-                ).cast(SPANS),
-            )
+    ).cast(PARTS)
+    placed = F.col("placed")
+    shaped = (
+        base.withColumn("parts", F.coalesce("parts", one_text))
+        .withColumn("visited", _visited(F.col("parts")))
+        .withColumn("content", F.array_join("visited", ""))
+        .withColumn("placed", _placed(F.col("parts"), F.col("visited")))
+        .withColumn(
+            "files",
+            F.transform(
+                F.filter(placed, _attachment_kind),
+                lambda p: F.struct(p["part"], p["kind"], p["ref"], p["tokens"], p["at"]),
+            ).cast(ATTACHMENTS),
+        )
+        .withColumn(
+            "learn",
+            F.transform(
+                F.filter(placed, lambda p: ~F.coalesce(_attachment_kind(p), F.lit(False))),
+                lambda p: F.struct(p["at"], p["length"]),
+            ).cast(SPANS),
         )
+    )
     shaped = (
         shaped.withColumn("learn", F.when(learned, F.col("learn")).otherwise(F.array().cast(SPANS)))
         .withColumn("head", F.length(head).cast("bigint"))
