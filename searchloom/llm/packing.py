@@ -151,39 +151,59 @@ class Bins:
         return True
 
     def _one_for_two(self, own, other, room):
-        order = np.argsort(self.bin[other], kind="stable")
+        order = np.lexsort((self.sizes[other], self.bin[other]))
         other, room = other[order], room[order]
-        left, right = other[:-1], other[1:]  # neighbours in one bin
-        same = self.bin[left] == self.bin[right]
-        both = np.where(same, self.sizes[left] + self.sizes[right], 0)
-        for doc in own[np.argsort(-self.sizes[own])].tolist():
-            gain = np.where(same, self.sizes[doc] - both, 0)
-            gain[(gain <= 0) | (gain > room[:-1])] = 0
-            if len(gain) and gain.max() > 0:
+        of_bin, size = self.bin[other], self.sizes[other]
+        # of equal sizes in one bin two do, so that the pairs of a bin number no more than some times its capacity
+        third = np.zeros(len(other), bool)
+        third[2:] = (of_bin[2:] == of_bin[:-2]) & (size[2:] == size[:-2])
+        other, room, of_bin, size = other[~third], room[~third], of_bin[~third], size[~third]
+        left, right = [], []
+        for apart in range(1, len(other)):
+            pairs = np.flatnonzero(of_bin[apart:] == of_bin[:-apart])
+            if not len(pairs):
+                break
+            left.append(pairs)
+            right.append(pairs + apart)
+        if not left:
+            return None
+        left, right = np.concatenate(left), np.concatenate(right)
+        both, room = size[left] + size[right], room[left]
+        for doc in own[np.unique(self.sizes[own], return_index=True)[1]][::-1].tolist():
+            gain = self.sizes[doc] - both
+            gain[(gain <= 0) | (gain > room)] = 0
+            if gain.max() > 0:
                 i = int(np.argmax(gain))
-                return (doc,), (int(left[i]), int(right[i])), int(self.bin[left[i]])
+                return (doc,), (int(other[left[i]]), int(other[right[i]])), int(of_bin[left[i]])
         return None
 
-    def local_search(self, steps: int) -> None:
-        """Raise the sum of squared fills by steps that empty the emptiest bins."""
+    def local_search(self, steps: int | None = None) -> None:
+        """Raise the sum of squared fills, the emptiest bins first, until no bin has a step left.
+
+        It ends, as each step raises the sum.  ``steps`` bounds the tries, if it is given.
+        """
         stuck = np.zeros(self.n, bool)
-        open_bins = self.n
-        for _ in range(steps):
+        open_bins, moved, tries = self.n, False, 0
+        while steps is None or tries < steps:
+            tries += 1
             if open_bins <= self.least():
                 return
             live = np.flatnonzero((self.fill > 0) & ~stuck)
             if not len(live):
-                return
+                if not moved:
+                    return
+                stuck[:], moved = False, False  # what changed may let bins give that could not
+                continue
             a = int(live[np.argmin(self.fill[live])])
             if not self._improve(a):
                 stuck[a] = True
                 continue
-            stuck[:] = False  # what changed may let other bins give
+            moved = True
             if self.fill[a] == 0:
                 open_bins -= 1
 
 
-def pack(sizes: np.ndarray, capacity: int, steps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pack(sizes: np.ndarray, capacity: int, steps: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bin, the place in it, and the fill of that bin, for each size."""
     bins = Bins(np.asarray(sizes, np.int64), capacity)
     bins.best_fit()
@@ -198,10 +218,10 @@ def pack(sizes: np.ndarray, capacity: int, steps: int) -> tuple[np.ndarray, np.n
     return bins.bin, offset, bins.fill[bins.bin]
 
 
-def _packer(capacity: int, steps: int, base: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _packer(capacity: int, base: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("row_no", ignore_index=True)
-        number, offset, fill = pack(group["length"].to_numpy(), capacity, steps)
+        number, offset, fill = pack(group["length"].to_numpy(), capacity)
         return group.assign(
             sequence_id=(base + group["part"]) * (1 << 24) + number, offset=offset, fill=fill
         )
@@ -213,14 +233,12 @@ def _parts(n: int, per_part: int) -> int:
     return max(1, -(-n // per_part))
 
 
-def pack_pieces(
-    pieces: DataFrame, capacity: int = CAPACITY, per_part: int = 8000, steps: int = 3000
-) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_part: int = 8000) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``.
 
     Pieces are dealt out by a hash of their row number into parts of ``per_part``,
     however many there are, and each part is packed by best fit and then by local
-    search of at most ``steps`` steps.  What lies in bins under nine tenths full is
+    search until no bin has a step left.  What lies in bins under nine tenths full is
     dealt out and packed once more, so that not every part leaves an open bin.
     ``pieces`` needs a unique ``row_no``.
     """
@@ -232,7 +250,7 @@ def pack_pieces(
 
     def packed(rows: DataFrame, into: int, base: int) -> DataFrame:
         dealt = rows.withColumn("part", F.pmod(F.xxhash64("row_no"), F.lit(into)))
-        return dealt.groupBy("part").applyInPandas(_packer(capacity, steps, base), schema)
+        return dealt.groupBy("part").applyInPandas(_packer(capacity, base), schema)
 
     once = stage(packed(pieces, parts, 0), "packed")
     open_below = capacity * 9 // 10
