@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from searchloom.llm.chat import format_chats, read_chats
 from searchloom.llm.decontaminate import contaminated
+from searchloom.llm.divergence import source_divergence
 from searchloom.llm.near_dedup import near_duplicates
+from searchloom.llm.oracles import ORACLE_SQL
 from searchloom.llm import pii
 from searchloom.llm.packing import pack_documents
+from searchloom.llm.periods import periodic_runs, plant_runs, steadiest
 from searchloom.llm.quality import classify_quality
 from searchloom.llm.rules import COUNTS, quality_rules
 from searchloom.llm.secrets import BASE, find_secrets, span_text
+from searchloom.llm.simhash import hex_print, simhash_duplicates
 from searchloom.llm.substrings import deduplicate_substrings
 from searchloom.llm.tables import hex_sha, read
 from searchloom.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(ORACLE_SQL)
 
 
 def query(function):
@@ -136,3 +140,32 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2,048 tokens."""
     return pack_documents(read(spark, sf_dir, "documents"), word_tokenizer())
+
+
+@query
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints differ in three bits at most."""
+    found = simhash_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_print().alias("fingerprint"), "component_id")
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the words of every source of a language are from the others', and by which terms."""
+    return source_divergence(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one text in ten made periodic first."""
+    found = periodic_runs(plant_runs(read(spark, sf_dir, "documents"))).withColumn("best", steadiest())
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *best,
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        hex_sha(F.array_join(F.transform(line, lambda t: F.concat(t, F.lit("\n"))), "")).alias("runs_sha256"),
+        hex_sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )

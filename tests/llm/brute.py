@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 SPACE_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -190,3 +192,110 @@ def pieces(docs, tokenizer, capacity=2048):
             crc = zlib.crc32(b"".join(x.to_bytes(4, "little") for x in part))
             out.append((doc, n, start, len(part), crc))
     return out
+
+
+def periodic_stretches(words, least=6, power=4):
+    """All runs as (start, length, smallest period), straight from the definition."""
+    code = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    codes = np.array([code[w] for w in words], np.int64)
+    found = {}
+    for q in range(1, len(words) // power + 1):
+        equal = np.concatenate([[0], codes[q:] == codes[:-q], [0]])
+        steps = np.diff(equal)
+        for i, j in zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist()):
+            if j - i + q >= max(least, power * q):
+                found.setdefault((i, j + q), q)  # the smallest period comes first
+    return sorted((a, b - a, q) for (a, b), q in found.items())
+
+
+def planted(doc, text):
+    words = SPACE_WORDS.findall(text or "")
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+
+
+def periodic(docs):
+    out = []
+    for doc, text in docs:
+        words = planted(doc, text)
+        runs = periodic_stretches(words)
+        dropped = {i for a, n, q in runs for i in range(a + q, a + n)}
+        best = None
+        for run in runs:
+            if best is None or run[1] * best[2] > best[1] * run[2]:
+                best = run
+        listed = "".join(f"{a},{n},{q}\n" for a, n, q in runs)
+        kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+        start, length, period = best or (None,) * 3
+        milli = 1000 * length // period if best else None
+        out.append((doc, len(runs), start, length, period, milli, sha(listed), sha(kept)))
+    return out
+
+
+def simhash(text, k=3):
+    import xxhash
+
+    words = SPACE_WORDS.findall(lower(text))
+    spans = [words[i : i + k] for i in range(max(1, len(words) - k + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(" ".join(s).encode(), 42) for s in spans]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def connected(prints, radius=3):
+    """A number for each fingerprint's component, all pairs compared."""
+    parent = {p: p for p in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    names = list(parent)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            if (a ^ b).bit_count() <= radius:
+                parent[find(a)] = find(b)
+    return {p: find(p) for p in names}
+
+
+def simhash_groups(docs):
+    prints = [simhash(t) for _, t in docs]
+    root = connected(prints)
+    least = {}
+    for (doc, _), p in zip(docs, prints):
+        if doc is not None:
+            least[root[p]] = min(doc, least.get(root[p], doc))
+    return [(doc, f"{p:016x}", least.get(root[p])) for (doc, _), p in zip(docs, prints)]
+
+
+def divergence(docs, least_docs=3, top=200):
+    """``docs`` are (lang, source, text)."""
+    letters = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    held, used, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for lang, source, text in ((a or "", b or "", c) for a, b, c in docs):
+        words = letters.findall(lower(text))
+        groups[lang].add(source)
+        held[lang].update(set(words))
+        used[lang, source].update(words)
+        used[lang].update(words)
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in held[lang].items() if n >= least_docs]
+
+        def p(group):
+            total = sum(used[group][t] for t in kept) + len(kept)
+            return {t: 1 + 10**9 * (used[group][t] + 1) // total for t in kept}
+
+        of, q = {s: p((lang, s)) for s in sources}, p(lang)
+        for s in sources:
+            pairs = [(t, sum((of[s][w] - of[t][w]) ** 2 // of[t][w] for w in kept)) for t in sources - {s}]
+            terms = [(w, (of[s][w] - q[w]) ** 2 // q[w]) for w in kept if used[lang, s][w] and of[s][w] > q[w]]
+            for part, items, limit in (("pair", pairs, None), ("term", terms, top)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, part, item, v, i + 1) for i, (item, v) in enumerate(items[:limit])]
+    return out

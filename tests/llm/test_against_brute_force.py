@@ -38,6 +38,11 @@ CASES = {
     "op6_": ("doc_id n_bytes n_tokens over_limit", lambda docs: list(tokens(docs))),
     "op7_": ("doc_id n_words n_removed kept_sha256", brute.repeats),
     "op9_": ("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed", brute.statistics),
+    "op11_": ("doc_id fingerprint component_id", brute.simhash_groups),
+    "op13_": (
+        "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+        brute.periodic,
+    ),
     "op10_": ("doc_id piece start length ids_crc32", lambda docs: brute.pieces(docs, library())),
 }
 
@@ -68,7 +73,7 @@ def test_odd_rows(spark, tmp_path, odd_docs, pairs, prefix):
     assert by_id(map(tuple, found)) == by_id(expected(pairs))
 
 
-@pytest.mark.parametrize("prefix", [*CASES, "op4_"])
+@pytest.mark.parametrize("prefix", [*CASES, "op4_", "op12_"])
 def test_empty_tables(spark, tmp_path, no_docs, prefix):
     no_docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
