@@ -6,7 +6,7 @@ import brute
 import pytest
 
 from searchloom.llm.components import components
-from searchloom.llm.simhash import ball_links, ball_masks, simhash_duplicates
+from searchloom.llm.simhash import ball_links, other_masks, simhash_duplicates
 
 
 def signed(x):
@@ -27,11 +27,14 @@ def planted(seed, count):
     return out
 
 
-@pytest.mark.parametrize("radius", [0, 1, 2, 3])
-def test_links_join_what_is_near(spark, radius):
+@pytest.mark.parametrize("radius, crowd", [(0, 9), (1, 9), (2, 9), (3, 10**6), (3, 3), (4, 9)])
+def test_links_join_what_is_near(spark, radius, crowd):
     prints = planted(radius, 60)
+    # Many that share a half, so that it is cut.
+    draw = random.Random(7)
+    prints |= {(draw.getrandbits(5) << 40 | draw.getrandbits(3)) ^ (1 << draw.randrange(64)) for _ in range(80)}
     table = spark.createDataFrame([(signed(p),) for p in prints], "fingerprint bigint")
-    links = [(a % 2**64, b % 2**64) for a, b in ball_links(table, radius).collect()]
+    links = [(a % 2**64, b % 2**64) for a, b in ball_links(table, radius, crowd=crowd).collect()]
     assert all(0 < (a ^ b).bit_count() <= radius for a, b in links)
     parent = {p: p for p in prints}
 
@@ -49,10 +52,10 @@ def test_links_join_what_is_near(spark, radius):
 
 
 def test_masks():
-    near, far = ball_masks(3)
-    assert len(near) == 65 and len(far) == 992
+    near, far = other_masks(3)
+    assert [len(m) for m in near] == [33, 1] and len(far) == 496
     with pytest.raises(ValueError):
-        ball_masks(6)
+        other_masks(6)
 
 
 def test_dense_cluster_is_linear(spark):
