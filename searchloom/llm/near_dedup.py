@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -377,7 +378,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, share: int = SHARE,
     """``docs`` with one row of each group: that of the smallest id (null last), then text key.
 
     Only rows of groups, as a bitmap of fixed size tells them, are joined and moved.
-    Rows without words stay.  All columns stay as they are.
+    Rows without words stay.  Of rows that share the id and the text that stay, the least in
+    its other columns stays.  All columns stay as they are.
     """
     found = near_duplicates(docs, shingle, share)
     grouped = stage(found.where(F.col("group").isNotNull()).select("group", "doc_id", "text_key"), "groups")
@@ -397,10 +399,26 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, share: int = SHARE,
     )
     met = maybe.join(decided, here, "left").select(*[maybe[c] for c in docs.columns], decided["head"].alias(_HEAD))
     free = met.where(F.col(_HEAD).isNull()).drop(_HEAD)
-    kept = met.where(F.col(_HEAD)).drop(_HEAD).dropDuplicates(["doc_id", "text"])
+    kept = least_rows(met.where(F.col(_HEAD)).drop(_HEAD), ["doc_id", "text"])
     return alone.unionByName(free).unionByName(kept)
 
 
+def least_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: of those that share it the least, column by column.
+
+    Columns that have no order, such as maps, decide nothing; they come from the row chosen.
+    """
+    others = [f for f in rows.schema.fields if f.name not in keys]
+    ordered = [f.name for f in others if not re.search("map<|variant", f.dataType.simpleString())]
+    if not others:
+        return rows.dropDuplicates(keys)
+    place = F.struct(*[F.col(f"`{c}`") for c in ordered]) if ordered else F.lit(0)
+    names = [f"`{f.name}`" for f in others]
+    chosen = rows.groupBy(*keys).agg(F.min_by(F.struct(*names), place).alias(_HEAD))
+    back = [f"`{_HEAD}`.{n}" for n in names]
+    return chosen.select(*keys, *back).select(*[f"`{c}`" for c in rows.columns])
+
+
 def _hub_pairs(shared: DataFrame, part: int) -> DataFrame:
     """Each node with the least node of its part of a bucket, and those parts' hubs in turn."""
     parts = F.ceil(F.col("size") / part).cast("int")

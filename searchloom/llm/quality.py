@@ -10,6 +10,7 @@ from searchloom.llm.blocks import blocks
 from searchloom.llm.network import Network, fit_network
 from searchloom.llm.random_index import context_sums, pooled, word_vectors
 from searchloom.llm.tables import bounded_sample, id_text, text_batches
+from searchloom.session import stage
 
 SAMPLE = 20_000  # labelled documents the network is fitted on at most
 LEAST = 0.3
@@ -54,8 +55,9 @@ def fit_quality(
 ) -> QualityModel:
     """Learn word vectors from all texts and the network from a bounded sample of labels.
 
-    The vectors are 4,096 by 64 numbers, and ``sample`` rows of 129 numbers reach the
-    driver, whatever the input.  Only texts are inputs of the score.
+    The vectors are 4,096 by 64 numbers, and at most ``sample`` rows of 129 numbers reach
+    the driver, whatever the input and however many rows share an id.  Only texts are
+    inputs of the score.
     """
     texts = id_text(docs)
     vectors = word_vectors(context_sums(texts))
@@ -69,12 +71,9 @@ def fit_quality(
             values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values], names=["doc_id", "label", "x"])
 
-    rows = (
-        texts.join(chosen, "doc_id")
-        .select("doc_id", "label", "text")
-        .mapInArrow(pool, "doc_id bigint, label int, x array<float>")
-        .toArrow()
-    )
+    met = texts.join(chosen, "doc_id").select("doc_id", "label", "text")
+    means = stage(met.mapInArrow(pool, "doc_id bigint, label int, x array<float>"), "labelled-means")
+    rows = bounded_sample(means, F.xxhash64("doc_id", "x"), sample).toArrow()
     width = 2 * vectors.shape[1] + 1
     x = rows["x"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, width)
     order = np.lexsort((*x.T[:3], rows["doc_id"].to_numpy()))
