@@ -31,6 +31,8 @@ class ClusterConfig:
     tile_rows: int = 6000
     # Vectors of one block of a topic beyond that; a task holds two blocks.
     block_bytes: int = 128 << 20
+    # Edges, three numbers each, that one task works through one after the other.
+    tree_rows: int = 500_000
 
     def __post_init__(self) -> None:
         if self.min_cluster_size < 2:
@@ -41,6 +43,8 @@ class ClusterConfig:
             raise ValueError("min_samples must be at least 1")
         if self.tile_rows < 4:
             raise ValueError("tile_rows must be at least 4")
+        if self.tree_rows < 1:
+            raise ValueError("tree_rows must be at least 1")
 
 
 @dataclass(frozen=True)

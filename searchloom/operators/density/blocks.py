@@ -1,19 +1,25 @@
 """Exact neighbour and spanning-tree stages for topics larger than one tile.
 
-A large topic is cut into ``k`` blocks by a hash of the point id, and each point
-is sent to the ``k`` block pairs it takes part in.  A task holds the two blocks of
+A large topic is cut into ``k`` blocks around pivots, and each point is sent to the
+block pairs it takes part in: all ``k`` for spanning trees, those that may hold a nearer
+neighbour for core distances.  A task holds the two blocks of
 its pair, works through them in tiles of bounded size, and emits a few numbers
 per point.  Every pair of points meets in exactly one task.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from searchloom.config import ClusterConfig
+from searchloom.operators.density.components import look_up
+from searchloom.operators.density.pivots import near_pairs
 from searchloom.operators.density.tiles import (
+    contained,
     crossing_tree,
     distances,
     lightest_forest,
@@ -23,6 +29,7 @@ from searchloom.operators.density.tiles import (
     per_group,
     spanning_tree,
 )
+from searchloom.session import stage
 
 PAIR = ["topic", "i", "j"]
 # A topic gets this many blocks if its size allows, for the sake of parallel work
@@ -38,11 +45,6 @@ def block_count(config: ClusterConfig) -> Column:
     return F.least(fit_tile, F.greatest(fit_memory, F.lit(USUAL_BLOCKS))).cast("int")
 
 
-def add_blocks(points: DataFrame) -> DataFrame:
-    """Add the block of each point."""
-    return points.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-
-
 def pair_up(points: DataFrame, tasks: int) -> DataFrame:
     """Send every point to the block pairs ``i <= j`` it belongs to.
 
@@ -82,11 +84,41 @@ def tile_pairs(table: pa.Table, rows: int) -> list[tuple[np.ndarray, np.ndarray,
     return [(p, q, p is q) for n, p in enumerate(own) for q in own[n:]]
 
 
-def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFrame:
+def _own_pairs(points: DataFrame, tasks: int) -> DataFrame:
+    """Every block with itself."""
+    block = F.col("block")
+    return (
+        points.withColumn("i", block).withColumn("j", block).repartition(tasks, *PAIR).sortWithinPartitions(*PAIR, "rid")
+    )
+
+
+def _kept_pairs(points: DataFrame, pairs: DataFrame, tasks: int) -> DataFrame:
+    """Every point in those of the given pairs ``(topic, i, j, number)`` that its block is in."""
+    sides = [pairs.select("topic", F.col(side).alias("block"), "i", "j", "number") for side in ("i", "j")]
+    listed = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy("topic", "block")
+        .agg(F.collect_list(F.struct("i", "j", "number")).alias("pairs"))
+    )
+    met = look_up(points, ["topic", "block"], listed).withColumn("pair", F.explode("pairs")).drop("pairs")
+    task = F.pmod(F.xxhash64("topic") % tasks + F.col("pair.number"), F.lit(tasks)).cast("int")
+    return (
+        met.select("*", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), task.alias("task"))
+        .repartitionById(tasks, "task")
+        .drop("pair", "task")
+        .sortWithinPartitions(*PAIR, "rid")
+    )
+
+
+def block_core_distances(
+    points: DataFrame, facts: DataFrame, config: ClusterConfig, tasks: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Add ``core``: each task reports its nearest few per point, the least of all win.
 
-    ``core`` is a squared distance.  Neighbours inside a block are
-    reported by the pair ``(i, i)`` alone, so that none is counted twice.
+    ``core`` is a squared distance.  Blocks are compared with themselves first; how far a
+    point's neighbours are by then tells which other pairs ``(topic, i, j)`` are looked at, returned beside, as are the
+    topics that failed.
     """
     min_samples, side = config.min_samples, config.tile_rows // 2
     schema = pa.schema(
@@ -118,26 +150,47 @@ def block_core_distances(points: DataFrame, config: ClusterConfig, tasks: int) -
             schema=schema,
         )
 
-    reports = pair_up(points, tasks).mapInArrow(
-        per_group(PAIR, near), "topic string, rid bigint, dist double, count bigint"
-    )
+    def reports(paired: DataFrame, name: str) -> DataFrame:
+        fields = "topic string, rid bigint, dist double, count bigint, error string"
+        return stage(paired.mapInArrow(per_group(PAIR, contained(near, schema)), fields), name)
+
+    slim = points.select("topic", "rid", "copies", "embedding", "block")
+    own, failed = split_errors(reports(_own_pairs(slim, tasks), "own-neighbours"))
+    reached = _with_core(points.select("topic", "rid", "copies", "block"), own, min_samples)
+    needed = F.when(F.col("reached") >= min_samples, F.sqrt("core")).otherwise(math.inf)
+    reach = reached.groupBy("topic", "block").agg(F.max(needed).alias("reach"))
+    pairs = stage(near_pairs(facts, reach), "near-pairs")
+    others, more = split_errors(reports(_kept_pairs(slim, pairs, tasks), "other-neighbours"))
+    cored = _with_core(points, own.unionByName(others), min_samples).drop("reached")
+    return cored, pairs, failed.unionByName(more)
+
+
+def _with_core(points: DataFrame, reports: DataFrame, min_samples: int) -> DataFrame:
+    """Add ``core``, where ``min_samples`` other points are ``reached``, from reports of neighbours."""
     merged = reports.groupBy("topic", "rid").agg(
         F.sort_array(F.collect_list(F.struct("dist", "count"))).alias("near")
     )
     # The fold walks outwards until min_samples other points are covered.
     start = F.struct((F.col("copies") - 1).alias("reached"), F.lit(0.0).alias("core"))
-    core = F.aggregate(
-        "near",
+    fold = F.aggregate(
+        F.coalesce("near", F.array().cast("array<struct<dist:double,count:bigint>>")),
         start,
         lambda acc, n: F.when(acc["reached"] >= min_samples, acc).otherwise(
             F.struct((acc["reached"] + n["count"]).alias("reached"), n["dist"].alias("core"))
         ),
-    )["core"]
-    return points.join(merged, ["topic", "rid"]).withColumn("core", core).drop("near")
+    )
+    met = points.join(merged, ["topic", "rid"], "left").withColumn("fold", fold)
+    return met.select("*", "fold.reached", "fold.core").drop("near", "fold")
+
+
+def split_errors(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What tasks found, and ``(topic, error)`` of those that failed."""
+    good = F.col("error").isNull()
+    return found.where(good).drop("error"), found.where(~good).select("topic", "error")
 
 
 def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFrame:
-    """Candidate edges: the spanning forests of all block pairs.
+    """Candidate edges, with a column ``error``: the spanning forests of all block pairs.
 
     Together these hold the topic's own spanning tree, since an edge that is not
     the heaviest on any cycle of the whole is not so on a cycle of a part.
@@ -178,6 +231,6 @@ def block_edges(points: DataFrame, config: ClusterConfig, tasks: int) -> DataFra
         )
 
     return pair_up(points, tasks).mapInArrow(
-        per_group(PAIR, forest),
-        "topic string, a bigint, b bigint, weight double, distance double",
+        per_group(PAIR, contained(forest, schema)),
+        "topic string, a bigint, b bigint, weight double, distance double, error string",
     )

@@ -1,30 +1,26 @@
-"""Forests held as edge tables: contraction, component labels, splits and leaves.
+"""Forests held as edge tables: contraction, thinning, and the leaves of condensed trees.
 
 Edges carry ``(topic, a, b, weight, distance)`` and are compared by
-``(weight, distance, a, b)``.  Every step is a join or an aggregation on
-``(topic, point)``; rounds are written to the shared folder, so the lineage stays
-short and lost executors cost no earlier round.
+``(weight, distance, a, b)``.  Every step is an aggregation that is combined before its shuffle, or a
+look-up over salted keys, so a component that holds nearly all points is not one task;
+rounds are written to the shared folder, so the lineage stays short and lost
+executors cost no earlier round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
-from searchloom.session import stage
+from searchloom.operators.density.components import connected_components, look_up
+from searchloom.operators.density.splits import ORDER, edge_order, size_splits
+from searchloom.operators.density.tiles import contained, leaf_clusters, lightest_forest, per_group
+from searchloom.session import shuffle_partitions, stage
 
-ORDER = ["weight", "distance", "a", "b"]
-
-
-def edge_order() -> Column:
-    return F.struct(*ORDER)
-
-
-def _jump(parents: DataFrame) -> DataFrame:
-    """Point every component at its parent's parent."""
-    up = parents.select("topic", F.col("c").alias("parent"), F.col("parent").alias("up"))
-    return parents.join(up, ["topic", "parent"], "left").select(
-        "topic", "c", F.coalesce("up", "parent").alias("parent")
-    )
+# The lightest share of the candidates is contracted first; what it joins drops out of the rest.
+LIGHT_SHARE = 0.25
+EDGE = "topic string, a bigint, b bigint, weight double, distance double"
 
 
 def _roots(best: DataFrame) -> DataFrame:
@@ -35,32 +31,47 @@ def _roots(best: DataFrame) -> DataFrame:
     """
     back = best.select("topic", F.col("c").alias("parent"), F.col("parent").alias("back"))
     mutual = (F.col("back") == F.col("c")) & (F.col("c") < F.col("parent"))
+    chosen = look_up(best.select("topic", "c", "parent"), ["topic", "parent"], back, "left")
     parents = stage(
-        best.join(back, ["topic", "parent"], "left").select(
-            "topic", "c", F.when(mutual, F.col("c")).otherwise(F.col("parent")).alias("parent")
-        ),
-        "parents",
+        chosen.select("topic", "c", F.when(mutual, F.col("c")).otherwise(F.col("parent")).alias("parent")), "parents"
     )
     while True:
-        jumped = stage(_jump(_jump(parents)), "parents")
-        moved = jumped.join(
-            parents.select("topic", "c", F.col("parent").alias("before")), ["topic", "c"]
-        ).where(F.col("parent") != F.col("before"))
-        if moved.isEmpty():
-            return jumped
-        parents = jumped
-
-
-def contract(
-    edges: DataFrame, vertices: DataFrame | None = None
-) -> tuple[DataFrame | None, DataFrame | None]:
+        up = parents.select("topic", F.col("c").alias("parent"), F.col("parent").alias("up"))
+        jumped = stage(
+            look_up(parents, ["topic", "parent"], up, "left").select(
+                "topic", "c", F.coalesce("up", "parent").alias("next"), "parent"
+            ),
+            "parents",
+        )
+        parents = jumped.select("topic", "c", F.col("next").alias("parent"))
+        if jumped.where(F.col("next") != F.col("parent")).isEmpty():
+            return parents
+
+
+def with_ends(edges: DataFrame) -> DataFrame:
+    """Edges whose ends are components of one point each."""
+    return edges.select("topic", *ORDER, F.col("a").alias("ca"), F.col("b").alias("cb"))
+
+
+def drop_inner(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """``edges`` between the components that theirs have gone into, without those inside one."""
+
+    def renamed(end: str) -> DataFrame:
+        return roots.select("topic", F.col("c").alias(end), F.col("parent").alias(f"root_{end}"))
+
+    met = look_up(look_up(edges, ["topic", "ca"], renamed("ca"), "left"), ["topic", "cb"], renamed("cb"), "left")
+    ends = [F.coalesce(f"root_{end}", end).alias(end) for end in ("ca", "cb")]
+    return met.select("topic", *ORDER, *ends).where(F.col("ca") != F.col("cb"))
+
+
+def contract(edges: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
     """Boruvka's algorithm: each round every component takes its lightest edge out.
 
-    Returns the edges of the minimum spanning forest and, if ``vertices``
-    ``(topic, v)`` are given, the component ``c`` of each of them.
+    ``edges`` are ``(topic, weight, distance, a, b, ca, cb)``, the last two the components of the ends.
+    Returns the edges of the minimum spanning forest, and the component ``parent`` that every
+    component ``c`` has gone into; nothing for no edges.
     """
-    live = edges.select("topic", *ORDER, F.col("a").alias("ca"), F.col("b").alias("cb"))
-    labels = vertices.select("topic", "v", F.col("v").alias("c")) if vertices is not None else None
+    live, joined = edges, None
     taken: list[DataFrame] = []
     while not live.isEmpty():
         ends = live.select("topic", F.col("ca").alias("c"), F.col("cb").alias("other"), *ORDER)
@@ -73,160 +84,93 @@ def contract(
         )
         taken.append(best.select("topic", *ORDER))
         roots = _roots(best)
-        left = roots.select("topic", F.col("c").alias("ca"), F.col("parent").alias("ra"))
-        right = roots.select("topic", F.col("c").alias("cb"), F.col("parent").alias("rb"))
-        live = stage(
-            live.join(left, ["topic", "ca"])
-            .join(right, ["topic", "cb"])
-            .where(F.col("ra") != F.col("rb"))
-            .select("topic", *ORDER, F.col("ra").alias("ca"), F.col("rb").alias("cb")),
-            "live-edges",
-        )
-        if labels is not None:
-            labels = stage(
-                labels.join(roots, ["topic", "c"], "left").select(
-                    "topic", "v", F.coalesce("parent", "c").alias("c")
-                ),
-                "components",
-            )
-    forest = None
-    if taken:
-        forest = taken[0]
-        for more in taken[1:]:
-            forest = forest.unionByName(more)
-        # Two components may have chosen the same edge.
-        forest = stage(forest.distinct(), "forest")
-    return forest, labels
-
-
-def _incident(tree: DataFrame) -> DataFrame:
-    """Each edge seen from both of its ends."""
-    order = edge_order().alias("order")
-    return tree.select("topic", F.col("a").alias("v"), F.col("b").alias("to"), order).unionByName(
-        tree.select("topic", F.col("b").alias("v"), F.col("a").alias("to"), order)
-    )
-
-
-def _lightest_edges(tree: DataFrame, how_many: int) -> DataFrame:
-    """The lightest few edges of every vertex, as a sorted list."""
-    ranked = _incident(tree).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("topic", "v").orderBy("order"))
-    )
-    return (
-        ranked.where(F.col("rank") <= how_many)
-        .groupBy("topic", "v")
-        .agg(F.sort_array(F.collect_list(F.struct("order", "to"))).alias("edges"))
-    )
-
-
-def growth_thresholds(tree: DataFrame, points: DataFrame, min_size: int) -> DataFrame:
-    """``(topic, v, reach)``: the edge at which v's component first holds ``min_size`` points.
-
-    The component grows from ``v`` along its lightest edge out.  At most
-    ``min_size - 1`` vertices are added, so the lightest ``min_size - 1`` edges
-    of each of them are all that can matter.  ``reach`` is null where the copies
-    of ``v`` suffice by themselves.
+        live = stage(drop_inner(live, roots), "live-edges")
+        if joined is None:
+            joined = roots
+        else:
+            up = roots.select("topic", F.col("c").alias("parent"), F.col("parent").alias("up"))
+            joined = look_up(joined, ["topic", "parent"], up, "left")
+            joined = stage(joined.select("topic", "c", F.coalesce("up", "parent").alias("parent")), "joined")
+    if not taken:
+        return None, None
+    forest = taken[0]
+    for more in taken[1:]:
+        forest = forest.unionByName(more)
+    # Two components may have chosen the same edge.
+    return stage(forest.distinct(), "forest"), joined
+
+
+def thinned_forest(candidates: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """The minimum spanning forest of very many candidates, and those left after thinning.
+
+    Filter-Kruskal in two steps: the lightest share of each topic's candidates is contracted.
+    Of the rest every edge whose ends hang together by then is the heaviest of a cycle, and is
+    dropped; what is left is contracted between the components.
     """
-    around = stage(
-        points.select("topic", F.col("rid").alias("v"), "copies").join(
-            _lightest_edges(tree, min_size - 1), ["topic", "v"]
-        ),
-        "neighbourhoods",
-    )
-    no_edge = F.lit(None).cast(
-        "struct<weight:double,distance:double,a:bigint,b:bigint>"
-    )
-    state = around.select(
-        "topic",
-        "v",
-        F.array("v").alias("members"),
-        F.col("copies").alias("held"),
-        F.col("edges").alias("frontier"),
-        no_edge.alias("reach"),
-    )
-    added = around.select(
-        "topic", F.col("v").alias("next"), F.col("copies").alias("more"), F.col("edges").alias("new")
-    )
-    for round_ in range(min_size - 1):
-        growing = (F.col("held") < min_size) & (F.size("frontier") > 0)
-        step = state.withColumn(
-            "edge", F.when(growing, F.array_min("frontier"))
-        ).withColumn("next", F.col("edge.to"))
-        grown = step.join(added, ["topic", "next"], "left")
-        moved = F.col("edge").isNotNull()
-        members = F.when(moved, F.concat("members", F.array("next"))).otherwise(F.col("members"))
-        state = (
-            grown.withColumn("members", members)
-            .withColumn(
-                "frontier",
-                F.when(
-                    moved,
-                    F.filter(
-                        F.concat("frontier", "new"),
-                        lambda e: ~F.array_contains(F.col("members"), e["to"]),
-                    ),
-                ).otherwise(F.col("frontier")),
-            )
-            .withColumn("held", F.col("held") + F.coalesce("more", F.lit(0)))
-            .withColumn(
-                "reach",
-                F.when(
-                    moved,
-                    F.array_max(F.array("reach", "edge.order")),
-                ).otherwise(F.col("reach")),
-            )
-            .select("topic", "v", "members", "held", "frontier", "reach")
-        )
-        if round_ % 4 == 3:
-            state = stage(state, "growth")
-    return state.select("topic", "v", "reach")
+    cut = candidates.groupBy("topic").agg(F.percentile_approx("weight", LIGHT_SHARE, 10_000).alias("upto"))
+    marked = look_up(with_ends(candidates), ["topic"], stage(cut, "light-weights"))
+    light = marked.where(F.col("weight") <= F.col("upto")).drop("upto")
+    heavy = marked.where(F.col("weight") > F.col("upto")).drop("upto")
+    forest, roots = contract(light)
+    left = heavy if roots is None else stage(drop_inner(heavy, roots), "thinned-edges")
+    more, _ = contract(left)
+    if forest is None or more is None:
+        return forest if more is None else more, left
+    return forest.unionByName(more), left
+
+
+def spanning_forest(candidates: DataFrame, task_rows: int) -> DataFrame:
+    """Minimum spanning trees of all topics, ``(topic, a, b, weight, distance, error)``.
+
+    Topics of up to ``task_rows`` candidates are solved within a task each, many to a task.
+    """
+    counts = stage(candidates.groupBy("topic").agg(F.count(F.lit(1)).alias("n")), "candidate-counts")
+    totals = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("n") <= task_rows, F.col("n"))), F.lit(0)).alias("small"),
+        F.count_if(F.col("n") > task_rows).alias("large"),
+    ).first()
+    marked = look_up(candidates, ["topic"], counts.select("topic", (F.col("n") <= task_rows).alias("fits")))
+    columns = ["topic", "a", "b", "weight", "distance"]
+    tasks = int(max(shuffle_partitions(candidates.sparkSession), -(-totals["small"] // task_rows)))
+    schema = pa.schema([(c, {"topic": pa.string(), "a": pa.int64(), "b": pa.int64()}.get(c, pa.float64())) for c in columns])
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        found = lightest_forest([tuple(table[c].to_numpy() for c in columns[1:])])
+        topic = pa.array([table["topic"][0].as_py()] * len(found[0]), pa.string())
+        return pa.record_batch([topic, *map(pa.array, found)], schema=schema)
+
+    small = marked.where("fits").select(columns).repartition(tasks, "topic").sortWithinPartitions("topic")
+    forest = small.mapInArrow(per_group(["topic"], contained(solve, schema)), f"{EDGE}, error string")
+    if totals["large"]:
+        large, _ = thinned_forest(marked.where("not fits").select(columns))
+        forest = forest.unionByName(large.select(*columns, F.lit(None).cast("string").alias("error")))
+    return stage(forest, "spanning-trees")
 
 
 def splitting_edges(
-    tree: DataFrame, points: DataFrame, min_size: int, min_split: float
+    tree: DataFrame, points: DataFrame, min_size: int, min_split: float, task_rows: int
 ) -> DataFrame:
     """Edges at which the condensed tree splits: both sides already hold ``min_size`` points.
 
     ``min_split`` is a distance; lighter splits do not count, unless a topic has
     no others, in which case its heaviest split alone does.
     """
-    reach = stage(growth_thresholds(tree, points, min_size), "growth")
-
-    def at(end: str) -> DataFrame:
-        return reach.select(
-            "topic", F.col("v").alias(end), F.col("reach").alias(f"reach_{end}")
-        )
-
-    def reached(end: str) -> Column:
-        return F.coalesce(F.col(f"reach_{end}") < edge_order(), F.lit(True))
-
-    splits = (
-        tree.join(at("a"), ["topic", "a"])
-        .join(at("b"), ["topic", "b"])
-        .where(reached("a") & reached("b"))
-        .select(
-            "topic",
-            *ORDER,
-            (F.col("weight") >= min_split * min_split).alias("counts"),
-        )
+    splits = size_splits(tree, points, min_size, task_rows).withColumn(
+        "counts", F.col("weight") >= min_split * min_split
     )
-    splits = stage(splits, "splits")
     heaviest = splits.groupBy("topic").agg(
         F.max(edge_order()).alias("heaviest"), F.max("counts").alias("any_counts")
     )
+    only = edge_order() == F.col("heaviest")
     return (
-        splits.join(heaviest, "topic")
-        .where(
-            F.when(F.col("any_counts"), F.col("counts")).otherwise(
-                edge_order() == F.col("heaviest")
-            )
-        )
+        look_up(splits, ["topic"], heaviest)
+        .where(F.when(F.col("any_counts"), F.col("counts")).otherwise(only))
         .select("topic", *ORDER)
     )
 
 
 def forest_leaves(
-    tree: DataFrame, points: DataFrame, min_size: int, min_split: float
+    tree: DataFrame, points: DataFrame, min_size: int, min_split: float, task_rows: int
 ) -> DataFrame:
     """``(topic, rid, leaf)`` for the points in leaf clusters.
 
@@ -235,30 +179,63 @@ def forest_leaves(
     splitting edge at the piece.  (Were there a second, the edge between the two
     would have ``min_size`` points on either side and split the tree itself.)
     """
-    splits = stage(splitting_edges(tree, points, min_size, min_split), "counted-splits")
+    splits = stage(splitting_edges(tree, points, min_size, min_split, task_rows), "counted-splits")
+    unsplit = stage(tree.join(splits, ["topic", *ORDER], "left_anti"), "unsplit-edges")
     vertices = points.select("topic", F.col("rid").alias("v"))
-    joined = stage(tree.join(splits, ["topic", *ORDER], "left_anti"), "unsplit-edges")
-    _, piece = contract(joined, vertices)
 
+    def parts(edges: DataFrame, name: str) -> DataFrame:
+        """The component of every vertex, itself where it has no edge."""
+        roots = connected_components(edges.select("topic", "a", "b")).withColumnRenamed("node", "v")
+        met = vertices.join(roots, ["topic", "v"], "left")
+        return stage(met.select("topic", "v", F.coalesce("root", "v").alias(name)), name)
+
+    piece = parts(unsplit, "piece")
     ends = splits.select("topic", F.col("a").alias("v"), edge_order().alias("order")).unionByName(
         splits.select("topic", F.col("b").alias("v"), edge_order().alias("order"))
     )
     births = stage(
-        ends.join(piece, ["topic", "v"])
-        .groupBy("topic", F.col("c").alias("piece"))
+        look_up(ends, ["topic", "v"], piece)
+        .groupBy("topic", "piece")
         .agg(F.min(F.struct("order", "v")).alias("first"))
         .select("topic", "piece", F.col("first.order").alias("birth"), F.col("first.v").alias("seed")),
         "births",
     )
-    inner = (
-        joined.join(
-            piece.select("topic", F.col("v").alias("a"), F.col("c").alias("piece")), ["topic", "a"]
+    of_a = piece.select("topic", F.col("v").alias("a"), "piece")
+    within = look_up(look_up(unsplit, ["topic", "a"], of_a), ["topic", "piece"], births)
+    part = parts(stage(within.where(edge_order() < F.col("birth")), "inner-edges"), "part")
+    seeds = births.select("topic", F.col("seed").alias("v"), F.col("piece").alias("leaf"))
+    seed_parts = seeds.join(part, ["topic", "v"]).select("topic", "part", "leaf")
+    return look_up(part, ["topic", "part"], seed_parts).select("topic", F.col("v").alias("rid"), "leaf")
+
+
+def tree_labels(tree: DataFrame, points: DataFrame, min_size: int, min_split: float, tasks: int) -> DataFrame:
+    """``(topic, rid, label, error)`` of topics whose trees fit one task each; -1 is noise."""
+    schema = pa.schema([("topic", pa.string()), ("rid", pa.int64()), ("label", pa.int32())])
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        is_point = np.asarray(table["copies"].combine_chunks().is_valid())
+        here, edges = table.filter(pa.array(is_point)), table.filter(pa.array(~is_point))
+        order = np.argsort(here["a"].to_numpy())
+        rid, copies = here["a"].to_numpy()[order], here["copies"].to_numpy()[order]
+        a, b = (np.searchsorted(rid, edges[c].to_numpy()) for c in ("a", "b"))
+        found = leaf_clusters(
+            a, b, edges["weight"].to_numpy(), edges["distance"].to_numpy(), copies, min_size, min_split * min_split
         )
-        .join(births, ["topic", "piece"])
-        .where(edge_order() < F.col("birth"))
-        .select("topic", *ORDER)
+        topic = pa.array([table["topic"][0].as_py()] * len(rid), pa.string())
+        return pa.record_batch([topic, pa.array(rid), pa.array(numbered_by_first(found), pa.int32())], schema=schema)
+
+    less = [F.lit(None).cast(t).alias(c) for c, t in (("b", "bigint"), ("weight", "double"), ("distance", "double"))]
+    rows = points.select("topic", F.col("rid").alias("a"), *less, "copies").unionByName(
+        tree.select("topic", "a", "b", "weight", "distance", F.lit(None).cast("bigint").alias("copies"))
     )
-    _, part = contract(stage(inner, "inner-edges"), vertices)
-    seeds = births.select("topic", F.col("seed").alias("v"), F.col("piece").alias("leaf"))
-    seed_parts = seeds.join(part, ["topic", "v"]).select("topic", "c", "leaf")
-    return part.join(seed_parts, ["topic", "c"]).select("topic", F.col("v").alias("rid"), "leaf")
+    dealt = rows.repartition(tasks, "topic").sortWithinPartitions("topic")
+    fields = "topic string, rid bigint, label int, error string"
+    return dealt.mapInArrow(per_group(["topic"], contained(solve, schema)), fields)
+
+
+def numbered_by_first(found: np.ndarray) -> np.ndarray:
+    """Cluster numbers of points in their order, counted anew from 0 by where each is met first."""
+    _, first, back = np.unique(found, return_index=True, return_inverse=True)
+    noise = int((found < 0).any())
+    first[:noise] = -1
+    return (np.argsort(np.argsort(first)) - noise)[back]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,13 +13,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 from searchloom.config import ClusterConfig
 from searchloom.functions.vectors import as_doubles, squared_norm
 from searchloom.operators.density.blocks import (
-    add_blocks,
     block_core_distances,
     block_count,
     block_edges,
+    split_errors,
 )
-from searchloom.operators.density.forest import contract, forest_leaves
+from searchloom.operators.density.components import look_up
+from searchloom.operators.density.forest import forest_leaves, numbered_by_first, spanning_forest, tree_labels
+from searchloom.operators.density.pivots import pivot_blocks
 from searchloom.operators.density.tiles import (
+    contained,
     core_from_nearest,
     distances,
     leaf_clusters,
@@ -32,6 +36,8 @@ from searchloom.session import shuffle_partitions, stage
 MAX_TASKS = 20000
 RANK_RANGES = 1024
 
+Solver = Callable[[pa.Table, ClusterConfig], np.ndarray]
+
 
 @dataclass(frozen=True)
 class Prepared:
@@ -42,7 +48,6 @@ class Prepared:
     small: DataFrame
     large: DataFrame | None
     small_tasks: int
-    large_tasks: int
     any_shared: bool
     failed: DataFrame
 
@@ -77,6 +82,7 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
         F.count(F.lit(1)).alias("distinct_points"),
         F.max(broken).alias("broken"),
         F.max(F.col("holders") > 1).alias("shared"),
+        F.min("rid").alias("first_rid"),
         F.max(F.size(vec)).alias("dim"),
         (F.max(F.size(vec)) != F.min(F.size(vec))).alias("uneven"),
     )
@@ -91,26 +97,22 @@ def prepare(points: DataFrame, config: ClusterConfig) -> Prepared:
     )
     good = F.col("error").isNull()
     large = F.col("distinct_points") > config.tile_rows
-    blocks = F.col("blocks")
     totals = topics.where(good).agg(
-        F.coalesce(F.sum(F.when(large, blocks * (blocks + 1) / 2)), F.lit(0)).alias("tiles"),
+        F.count_if(large).alias("large"),
         F.coalesce(F.sum(F.when(~large, F.col("distinct_points"))), F.lit(0)).alias("small"),
         F.coalesce(F.max("shared"), F.lit(False)).alias("shared"),
     ).first()
-    tiles = totals["tiles"]
-
     def tasks(wanted: float) -> int:
         return int(min(MAX_TASKS, max(wanted, shuffle_partitions(spark))))
 
-    sized = topics.select("topic", "distinct_points", "blocks", "error")
+    sized = topics.select("topic", "distinct_points", "blocks", "first_rid", "error")
     rows = distinct.join(sized, "topic").where(good).drop("holders", "error")
     return Prepared(
         points,
         distinct,
         rows.where(~large),
-        rows.where(large) if tiles else None,
+        rows.where(large) if totals["large"] else None,
         tasks(totals["small"] / config.tile_rows),
-        tasks(tiles),
         totals["shared"],
         topics.where(~good).select("topic", "error"),
     )
@@ -150,7 +152,8 @@ def core_distances(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
         per_group(["topic"], tile), "topic string, rid bigint, core double"
     )
     if ready.large is not None:
-        cores = block_core_distances(add_blocks(ready.large), config, ready.large_tasks)
+        cores, _, failed = _large_cores(ready, config)
+        _raise_first(failed)
         found = found.unionByName(
             cores.select("topic", "rid", F.sqrt("core").alias("core"))
         )
@@ -181,19 +184,34 @@ def spanning_edges(points: DataFrame, config: ClusterConfig = ClusterConfig()) -
         per_group(["topic"], tile), "topic string, a bigint, b bigint, weight double"
     )
     if ready.large is not None:
-        tree, _ = _large_tree(ready, config)
+        tree, _, failed = _large_tree(ready, config)
+        _raise_first(failed)
         edges = edges.unionByName(tree.select("topic", "a", "b", F.sqrt("weight").alias("weight")))
     return edges
 
 
-def _large_tree(ready: Prepared, config: ClusterConfig) -> tuple[DataFrame, DataFrame]:
-    """Spanning trees of the large topics, and their points without the vectors."""
-    cored = stage(
-        block_core_distances(add_blocks(ready.large), config, ready.large_tasks), "core-distances"
-    )
-    candidates = stage(block_edges(cored, config, ready.large_tasks), "candidate-edges")
-    tree, _ = contract(candidates)
-    return tree, cored.select("topic", "rid", "copies")
+def _raise_first(failed: DataFrame) -> None:
+    first = failed.first()
+    if first is not None:
+        raise RuntimeError(f"topic {first['topic']}: {first['error']}")
+
+
+def _large_cores(ready: Prepared, config: ClusterConfig) -> tuple[DataFrame, int, DataFrame]:
+    """Core distances of the large topics, in how many tasks their block pairs go, and what failed."""
+    placed, facts, pairs = pivot_blocks(ready.large)
+    tasks = min(MAX_TASKS, max(pairs, shuffle_partitions(ready.large.sparkSession)))
+    cores, _, failed = block_core_distances(stage(placed, "blocks"), facts, config, tasks)
+    return cores, tasks, failed
+
+
+def _large_tree(ready: Prepared, config: ClusterConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Spanning trees of the large topics, their points without the vectors, and what failed."""
+    cores, tasks, failed = _large_cores(ready, config)
+    cored = stage(cores, "core-distances")
+    candidates, more = split_errors(stage(block_edges(cored, config, tasks), "candidate-edges"))
+    tree, most = split_errors(spanning_forest(candidates, config.tree_rows))
+    points = cored.select("topic", "rid", "copies", "distinct_points")
+    return tree, points, failed.unionByName(more).unionByName(most)
 
 
 def number_clusters(members: DataFrame) -> DataFrame:
@@ -224,41 +242,53 @@ def number_clusters(members: DataFrame) -> DataFrame:
 
 
 def _large_labels(ready: Prepared, config: ClusterConfig) -> DataFrame:
-    tree, points = _large_tree(ready, config)
-    leaves = stage(
-        forest_leaves(
-            tree, points, config.min_cluster_size, config.cluster_selection_epsilon
-        ),
-        "leaves",
-    )
-    labels = number_clusters(leaves)
-    return points.select("topic", "rid").join(labels, ["topic", "rid"], "left").select(
-        "topic", "rid", F.coalesce("label", F.lit(-1)).alias("label")
-    )
+    """Labels from the trees: within a task per topic, or by joins if a tree is larger than that.
 
+    A topic of which a task failed has a row with the error besides.
+    """
+    tree, points, failed = _large_tree(ready, config)
+    sizes = (config.min_cluster_size, config.cluster_selection_epsilon)
+    fits = F.col("distinct_points") <= config.tree_rows
+    counted = stage(points.groupBy("topic", fits.alias("fits")).agg(F.count(F.lit(1)).alias("n")), "tree-sizes")
+    totals = {r["fits"]: r["n"] for r in counted.groupBy("fits").agg(F.sum("n").alias("n")).collect()}
+    marked = look_up(tree, ["topic"], counted.select("topic", "fits"))
+    found = failed.select("topic", F.lit(None).cast("bigint").alias("rid"), F.lit(-1).alias("label"), "error")
+    if True in totals:
+        tasks = int(max(shuffle_partitions(tree.sparkSession), totals[True] // config.tree_rows))
+        found = found.unionByName(
+            tree_labels(marked.where("fits").drop("fits"), points.where(fits), *sizes, tasks)
+        )
+    if False in totals:
+        wide = points.where(~fits)
+        leaves = stage(forest_leaves(marked.where("not fits").drop("fits"), wide, *sizes, config.tree_rows), "leaves")
+        labels = wide.select("topic", "rid").join(number_clusters(leaves), ["topic", "rid"], "left")
+        label = F.coalesce("label", F.lit(-1)).alias("label")
+        found = found.unionByName(labels.select("topic", "rid", label, F.lit(None).cast("string").alias("error")))
+    return found
+
+
+def tile_labels(table: pa.Table, config: ClusterConfig) -> np.ndarray:
+    """Cluster numbers of one topic's rows ``(rid, copies, embedding)``, sorted by id; -1 is noise."""
+    d, core = _solve(table, config.min_samples)
+    # Rows come sorted by id, so places order the points as their ids do.
+    a, b, weight, distance = spanning_tree(d, core, np.arange(len(core)))
+    least = config.cluster_selection_epsilon
+    copies = table["copies"].to_numpy()
+    return leaf_clusters(a, b, weight, distance, copies, config.min_cluster_size, least * least)
 
-def _small_labels(ready: Prepared, config: ClusterConfig) -> DataFrame:
-    min_samples = config.min_samples
-    min_size, min_split = config.min_cluster_size, config.cluster_selection_epsilon
+
+def _small_labels(ready: Prepared, config: ClusterConfig, solver: Solver) -> DataFrame:
     schema = pa.schema([("topic", pa.string()), ("rid", pa.int64()), ("label", pa.int32())])
 
     def tile(table: pa.Table) -> pa.RecordBatch:
-        d, core = _solve(table, min_samples)
-        # Rows come sorted by id, so places order the points as their ids do.
-        a, b, weight, distance = spanning_tree(d, core, np.arange(len(core)))
-        copies = table["copies"].to_numpy()
-        found = leaf_clusters(a, b, weight, distance, copies, min_size, min_split * min_split)
-        # Number the clusters by where they are met first.
-        _, first, back = np.unique(found, return_index=True, return_inverse=True)
-        first[: int((found < 0).any())] = -1
-        rank = np.argsort(np.argsort(first)) - int((found < 0).any())
+        label = numbered_by_first(np.asarray(solver(table, config)))
         rid = table["rid"].combine_chunks()
         return pa.record_batch(
-            [_topic_column(table, len(rid)), rid, pa.array(rank[back], pa.int32())], schema=schema
+            [_topic_column(table, len(rid)), rid, pa.array(label, pa.int32())], schema=schema
         )
 
     return _whole_topics(ready).mapInArrow(
-        per_group(["topic"], tile), "topic string, rid bigint, label int"
+        per_group(["topic"], contained(tile, schema)), "topic string, rid bigint, label int, error string"
     )
 
 
@@ -278,12 +308,22 @@ def _to_queries(found: DataFrame, ready: Prepared) -> DataFrame:
 
 
 def cluster_labels(
-    points: DataFrame, config: ClusterConfig = ClusterConfig()
+    points: DataFrame, config: ClusterConfig = ClusterConfig(), solver: Solver = tile_labels
 ) -> tuple[DataFrame, DataFrame]:
-    """``(topic, query_id, label)``, label -1 for noise, and the topics that failed."""
+    """``(topic, query_id, label)``, label -1 for noise, and ``(topic, error)`` of the topics that failed.
+
+    ``solver`` finds the clusters of a topic that fits one tile.  Whatever is raised while a topic is worked
+    on is that topic's error; it has no labels then, and the others are as they would be.
+    """
     ready = prepare(points, config)
-    found = _small_labels(ready, config)
+    found = _small_labels(ready, config, solver)
     if ready.large is not None:
         found = found.unionByName(_large_labels(ready, config))
-    labels = _to_queries(stage(found, "labels"), ready)
-    return (stage(labels, "query-labels") if ready.any_shared else labels), ready.failed
+    found, errors = split_errors(stage(found, "labels"))
+    failed = ready.failed
+    if not errors.isEmpty():
+        errors = stage(errors.groupBy("topic").agg(F.min("error").alias("error")), "failed-topics")
+        failed = failed.unionByName(errors)
+        found = look_up(found, ["topic"], errors, "left").where(F.col("error").isNull()).drop("error")
+    labels = _to_queries(found, ready)
+    return (stage(labels, "query-labels") if ready.any_shared else labels), failed

@@ -50,6 +50,27 @@ def per_group(
     return run
 
 
+def contained(
+    work: Callable[[pa.Table], pa.RecordBatch], schema: pa.Schema
+) -> Callable[[pa.Table], pa.RecordBatch]:
+    """``work`` on a topic's rows, so that whatever it raises stays with that topic.
+
+    Its batches get a null column ``error``; a failure is one row with nothing but the topic and the
+    text of the error.
+    """
+    marked = schema.append(pa.field("error", pa.string()))
+
+    def run(table: pa.Table) -> pa.RecordBatch:
+        try:
+            found = work(table)
+            return pa.record_batch([*found.columns, pa.nulls(len(found), pa.string())], schema=marked)
+        except Exception as e:  # a topic's failure is its own
+            row = {"topic": table["topic"][0].as_py(), "error": f"{type(e).__name__}: {e}"}
+            return pa.RecordBatch.from_pylist([row], schema=marked)
+
+    return run
+
+
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
     """A column of equally long vectors as a matrix."""
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -276,3 +297,28 @@ def leaf_clusters(
     if last >= 0 and label.max(initial=-1) < 0:
         label, _ = sweep(lambda place: place == last)
     return label
+
+
+def splitting_places(
+    left: np.ndarray, right: np.ndarray, order: np.ndarray, size: np.ndarray, min_size: int
+) -> np.ndarray:
+    """Which edges of a tree join two components of ``min_size`` points, taken in ``order``.
+
+    Edges name their ends by the place of a node, ``size`` holds the points of each node.
+    """
+    parent, held = list(range(len(size))), size.tolist()
+    found = []
+    for edge, x, y in zip(order.tolist(), left[order].tolist(), right[order].tolist()):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        while parent[y] != y:
+            parent[y] = parent[parent[y]]
+            y = parent[y]
+        if held[x] >= min_size and held[y] >= min_size:
+            found.append(edge)
+        if held[x] < held[y]:
+            x, y = y, x
+        parent[y] = x
+        held[x] += held[y]
+    return np.array(found, dtype=np.int64)
