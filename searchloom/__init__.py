@@ -20,18 +20,22 @@ from searchloom.operators.filters import load_and_filter_queries  # noqa: E402
 from searchloom.operators.language import (  # noqa: E402
     detect_language,
     is_english,
+    load_language_model,
+    save_language_model,
     train_language_model,
 )
 from searchloom.operators.profile import validate_query_data  # noqa: E402
 from searchloom.operators.report import generate_cluster_report  # noqa: E402
 from searchloom.operators.seo import analyze_seo_results, generate_seo_queries  # noqa: E402
 from searchloom.plans.pipeline import run_pipeline, run_pipeline_from_notebook  # noqa: E402
+from searchloom.session import stages_of_a_run  # noqa: E402
 from searchloom.sources import (  # noqa: E402
     load_queries_from_table,
     read_csv_dbfs,
     read_json_dbfs,
     write_csv_dbfs,
     write_json_dbfs,
+    write_json_documents,
 )
 
 __all__ = [
@@ -48,14 +52,18 @@ __all__ = [
     "get_pipeline_config",
     "is_english",
     "load_and_filter_queries",
+    "load_language_model",
     "load_queries_from_table",
     "read_csv_dbfs",
     "read_json_dbfs",
     "run_pipeline",
     "run_pipeline_from_notebook",
+    "save_language_model",
+    "stages_of_a_run",
     "train_language_model",
     "validate_embeddings",
     "validate_query_data",
     "write_csv_dbfs",
     "write_json_dbfs",
+    "write_json_documents",
 ]

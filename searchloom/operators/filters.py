@@ -8,6 +8,7 @@ from searchloom import constants as C
 from searchloom.config import LoadConfig
 from searchloom.functions.text import clean_query, has_alnum, has_topic, is_blank, parse_topics
 from searchloom.operators.language import LanguageModel, detect_language
+from searchloom.session import stage
 from searchloom.sources.tables import load_queries_from_table, require_unique_ids, with_query_id
 
 
@@ -75,21 +76,24 @@ def text_digest(column: str) -> Column:
     return F.unhex(F.sha2(F.col(column).cast("binary"), 256))
 
 
-def deduplicate(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per ``key``, the one of the smallest ``order``, which is unique.
+def deduplicate(rows: DataFrame, digest: str, order: str) -> DataFrame:
+    """One row per ``digest``, the one of the smallest ``order``, which is unique.
 
     Digests and ids alone are aggregated, by hash and combined before the shuffle, so
     a text that makes up a large part of the log sends one row per task; the rows that
-    stay are then picked by id.
+    stay are then picked by id.  ``rows`` are read twice, so they should lie in files.
     """
-    first = df.groupBy(text_digest(key).alias("digest")).agg(F.min(order).alias(order))
-    return df.join(first.select(order), order, "left_semi")
+    first = rows.groupBy(digest).agg(F.min(order).alias(order))
+    return rows.drop(digest).join(first.select(order), order, "left_semi")
 
 
 def filter_queries(
     raw: DataFrame, config: LoadConfig = LoadConfig(), model: LanguageModel | None = None
 ) -> DataFrame:
-    """Apply all filters in order and keep the first row of each cleaned text."""
+    """Apply all filters in order and keep the first row of each cleaned text.
+
+    Cleaned rows are written to the shared folder, so the log is read when this is called.
+    """
     require_columns(raw)
     require_model(config, model)
     before, after = cheap_filters(raw, config)
@@ -104,11 +108,19 @@ def filter_queries(
         if "topic" in raw.columns
         else F.array().cast("array<string>")
     )
-    rows = kept.select(
-        "query_id", "query_clean", user_column(raw).alias("user"), topics.alias("topics")
+    # The log is scanned and cleaned once; what follows reads digests, then texts.
+    rows = stage(
+        kept.select(
+            "query_id",
+            "query_clean",
+            user_column(raw).alias("user"),
+            topics.alias("topics"),
+            text_digest("query_clean").alias("digest"),
+        ),
+        "cleaned-queries",
     )
     # Equal texts have one language, so only the first of each is looked at.
-    first = deduplicate(rows, "query_clean", "query_id")
+    first = deduplicate(rows, "digest", "query_id")
     if config.language_filter:
         first = detect_language(first, model, text_col="query_clean", cleaned=True)
         first = first.where(F.col("language") == C.DEFAULT_LANGUAGE)

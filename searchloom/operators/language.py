@@ -15,13 +15,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from searchloom import constants as C
 from searchloom.functions.text import clean_query
 
 BUCKETS = 4096
 CHARACTERS_AT_ONCE = 1 << 20
+MOST_LANGUAGES = 1000
+MODEL_COLUMNS = "language string, log_prior double, log_likelihood array<double>"
 
 
 @dataclass(frozen=True)
@@ -82,14 +84,18 @@ def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFra
 def train_language_model(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"
 ) -> LanguageModel:
-    """Fit the model; what comes to the driver is languages x ``BUCKETS`` numbers."""
-    texts = {
-        r["lang"]: r["n"]
-        for r in labelled.where(F.col(lang_col).isNotNull())
+    """Fit the model; what comes to the driver is languages x ``BUCKETS`` numbers.
+
+    A column with more than ``MOST_LANGUAGES`` values is not one of languages, and raises.
+    """
+    labels = (
+        labelled.where(F.col(lang_col).isNotNull())
         .groupBy(F.col(lang_col).alias("lang"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
+    )
+    texts = {r["lang"]: r["n"] for r in labels.limit(MOST_LANGUAGES + 1).collect()}
+    if len(texts) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values")
     languages = tuple(sorted(texts))
     counts = np.zeros((len(languages), BUCKETS))
     for row in trigram_counts(labelled, text_col, lang_col).collect():
@@ -101,6 +107,28 @@ def train_language_model(
     )
 
 
+def save_language_model(spark: SparkSession, model: LanguageModel, path: str) -> None:
+    """Overwrite ``path`` with the model as Parquet, a row per language."""
+    rows = [
+        (lang, float(prior), row.tolist())
+        for lang, prior, row in zip(model.languages, model.log_prior, model.log_likelihood)
+    ]
+    spark.createDataFrame(rows, MODEL_COLUMNS).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_language_model(spark: SparkSession, path: str) -> LanguageModel:
+    """A model that was saved, bit by bit as it was."""
+    rows = spark.read.schema(MODEL_COLUMNS).parquet(path).limit(MOST_LANGUAGES).collect()
+    rows.sort(key=lambda r: r["language"])
+    if any(len(r["log_likelihood"]) != BUCKETS for r in rows):
+        raise ValueError(f"{path} holds no model of {BUCKETS} buckets")
+    return LanguageModel(
+        tuple(r["language"] for r in rows),
+        np.array([r["log_prior"] for r in rows]),
+        np.array([r["log_likelihood"] for r in rows]).reshape(len(rows), BUCKETS),
+    )
+
+
 def detect_language(
     df: DataFrame,
     model: LanguageModel | None,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/searchloom/{name}-{uuid.uuid4().hex}"
 
 
+# The stages written by the innermost run of each thread.
+_runs: dict[int, list[str]] = {}
+
+
+@contextmanager
+def stages_of_a_run(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove, at the end, all stages written inside; results that read them must be used inside too.
+
+    If the run fails its stages are left for a look and for age to clear.  Runs may be nested.
+    """
+    paths: list[str] = []
+    thread = threading.get_ident()
+    outer = _runs.get(thread)
+    _runs[thread] = paths
+    try:
+        yield paths
+    finally:
+        if outer is None:
+            del _runs[thread]
+        else:
+            _runs[thread] = outer
+    for path in paths:
+        remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever Spark can reach it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -54,6 +88,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    if (run := _runs.get(threading.get_ident())) is not None:
+        run.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,6 +5,7 @@ from searchloom.sources.files import (
     read_json_dbfs,
     write_csv_dbfs,
     write_json_dbfs,
+    write_json_documents,
     write_text,
 )
 from searchloom.sources.tables import load_queries_from_table, with_query_id, write_table
@@ -16,6 +17,7 @@ __all__ = [
     "with_query_id",
     "write_csv_dbfs",
     "write_json_dbfs",
+    "write_json_documents",
     "write_table",
     "write_text",
 ]
