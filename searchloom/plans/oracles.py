@@ -396,7 +396,7 @@ CLUSTERED_ROWS = """SELECT query, usr AS "user", array_to_string(topics, '|') AS
 FROM assigned"""
 
 
-def report_sql() -> str:
+def report_sql(steps: tuple[str, ...] = SAMPLE_JUDGED) -> str:
     def text(value: str) -> str:
         return "'" + value.replace("'", "''") + "'"
 
@@ -436,7 +436,7 @@ def report_sql() -> str:
     ]
     valid = f"valid AS ({METADATA} FROM judged WHERE why = '')"
     union = "\nUNION ALL ".join(parts)
-    return with_(*SAMPLE_JUDGED, valid) + (
+    return with_(*steps, valid) + (
         "SELECT CAST(section AS INTEGER) AS section, cluster_label, "
         f"CAST(line_number AS INTEGER) AS line_number, line FROM ({union})"
     )
@@ -586,4 +586,50 @@ FROM (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS
     + STATISTICS,
 }
 
+ONE_TOPIC = """log AS (
+  SELECT doc_id AS query_id, text AS query, 'all' AS topic, source AS user_id FROM documents)"""
+ORACLES["flagship_one_topic"] = with_(*whole_run(ONE_TOPIC, False, ClusterConfig(), 9)) + CLUSTERED_ROWS
+ORACLES["density_labels_of_halves"] = (
+    with_(
+        """points AS (
+  SELECT 't' AS topic, vec_id AS query_id,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: x + 10.0 * (label % 2)) AS vec
+  FROM embeddings)""",
+        density(ClusterConfig(min_cluster_size=100), 8),
+    )
+    + LABELS
+)
+ORACLES["contained_failures"] = (
+    VECTORS
+    + """SELECT topic, query_id, label, NULL AS error FROM labels WHERE topic NOT IN ('t3', 't8')
+UNION ALL SELECT DISTINCT topic, NULL, NULL, 'ArithmeticError: planted' FROM labels
+WHERE topic IN ('t3', 't8')"""
+)
+ORACLES["json_document"] = ORACLES["json_round_trip"]
+ORACLES["csv_lines"] = r"""SELECT doc_id, regexp_replace(text, '([.,]) ', '\1\\' || chr(10), 'g') AS text, lang,
+  (SELECT count(*) FROM documents) AS n_lines FROM documents"""
+ORACLES["detect_with_saved_model"] = ORACLES["detect_languages"]
+NOTEBOOK = whole_run(
+    CONV_LOG,
+    False,
+    ClusterConfig(min_cluster_size=2, min_cluster_similarity=0.1, min_seo_similarity=0.3, min_unique_users=1),
+    7,
+)
+_REPORT = report_sql(())
+ORACLES["notebook_contents"] = (
+    with_(*NOTEBOOK, generated(1), _REPORT.removeprefix("WITH ").split("\nSELECT CAST(section", 1)[0])
+    + f"""SELECT 'filtered_queries' AS output, CAST(query_id AS VARCHAR) AS c0, query AS c1, usr AS c2,
+  array_to_string(topics, '|') AS c3, CAST(NULL AS VARCHAR) AS c4 FROM kept
+UNION ALL
+SELECT 'clustered_queries', query, usr, array_to_string(topics, '|'), cluster, NULL FROM assigned
+UNION ALL
+SELECT 'cluster_metadata', cluster_label, CAST(n_queries AS VARCHAR), printf('%.4f', avg_similarity),
+  CAST(unique_users AS VARCHAR), concat_ws('/', topic, most_central_query, seo_candidate) FROM valid
+UNION ALL
+SELECT 'seo_queries', cluster, seo_query, CAST(query_number AS VARCHAR), CAST(cluster_size AS VARCHAR), NULL
+FROM generated
+UNION ALL
+SELECT 'cluster_report', line, NULL, NULL, NULL, NULL
+FROM (SELECT CAST(section{_REPORT.split("SELECT CAST(section", 1)[1]})"""
+)
 ORACLES["notebook_outputs"] = ORACLES["flagship_statistics"]

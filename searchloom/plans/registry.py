@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from searchloom import schemas
@@ -17,7 +19,7 @@ from searchloom.functions.text import clean_query, parse_topics, parse_topics_no
 from searchloom.operators import clustering, embedding, filters, language, profile, seo, topics
 from searchloom.operators import validation
 from searchloom.operators.density import cluster_labels, core_distances
-from searchloom.operators.density.labels import spanning_edges
+from searchloom.operators.density.labels import spanning_edges, tile_labels
 from searchloom.operators.report import cluster_report
 from searchloom.plans import adapters
 from searchloom.plans.pipeline import run_pipeline, run_pipeline_from_notebook, run_statistics
@@ -66,6 +68,24 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json_dbfs(spark, path, schemas.RAW_QUERIES)
 
 
+def json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, one array of records per file, written and read back."""
+    path = new_path(spark, "json-documents")
+    files.write_json_documents(adapters.conv_log(spark, sf_dir), path)
+    return files.read_json_dbfs(spark, path, schemas.RAW_QUERIES, multi_line=True)
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, written as CSV of which every line is a row."""
+    path = new_path(spark, "csv-lines")
+    docs = adapters.documents(spark, sf_dir)
+    broken = docs.select("doc_id", F.regexp_replace("text", "([.,]) ", "$1\\\\\n").alias("text"), "lang")
+    files.write_csv_dbfs(broken, path)
+    back = files.read_csv_dbfs(spark, path, "doc_id bigint, text string, lang string")
+    lines = spark.read.text(path).where(~F.col("value").startswith("doc_id,"))
+    return back.crossJoin(lines.agg(F.count(F.lit(1)).alias("n_lines")))
+
+
 def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "table")
     name = "searchloom_" + path.rsplit("-", 1)[1]
@@ -153,6 +173,16 @@ def detect_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "language", (F.col("language") == "en").alias("is_english"))
 
 
+def detect_with_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`detect_languages`, with a model that was saved and loaded."""
+    docs = adapters.documents(spark, sf_dir)
+    path = new_path(spark, "language-model")
+    language.save_language_model(spark, language.train_language_model(docs), path)
+    model = language.load_language_model(spark, path)
+    english = language.is_english(docs, model, "text").select("doc_id", "is_english")
+    return language.detect_language(docs, model, "text").select("doc_id", "language").join(english, "doc_id")
+
+
 def language_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = adapters.documents(spark, sf_dir)
     model = language.train_language_model(docs)
@@ -288,6 +318,27 @@ def density_labels_with_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_labels(points, ClusterConfig(tile_rows=40))[0]
 
 
+def density_labels_of_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors under one topic, in two halves far apart; clusters of a hundred, through joins alone."""
+    side = F.pmod(F.element_at(F.split("topic", "t"), -1).cast("int"), F.lit(2)) * 10.0
+    points = _vector_points(spark, sf_dir).withColumn("embedding", F.transform("embedding", lambda x: x + side))
+    config = ClusterConfig(min_cluster_size=100, tile_rows=80, tree_rows=250)
+    return cluster_labels(points.withColumn("topic", F.lit("t")), config)[0]
+
+
+def failing_solver(table: pa.Table, config: ClusterConfig) -> np.ndarray:
+    """A solver that fails for some topics."""
+    if table["topic"][0].as_py() in ("t3", "t8"):
+        raise ArithmeticError("planted")
+    return tile_labels(table, config)
+
+
+def contained_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An exception inside two topics: the others are labelled, these are named."""
+    labels, failed = cluster_labels(_vector_points(spark, sf_dir), solver=failing_solver)
+    return labels.unionByName(failed, allowMissingColumns=True)
+
+
 def sample_members(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Vectors under two or three topics each, with labels that are given, not found."""
     vec_id = F.col("query_id")
@@ -432,6 +483,13 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.clustered_queries.withColumn("topics", joined("topics"))
 
 
+def flagship_one_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run with all documents under one topic, larger than a tile and than a task's tree."""
+    log = adapters.doc_log(spark, sf_dir).withColumn("topic", F.lit("all"))
+    result = run_pipeline(df=log, language_filter=False, tile_rows=150, tree_rows=500)
+    return result.clustered_queries.withColumn("topics", joined("topics"))
+
+
 def flagship_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run on English documents under two topics each; generated queries."""
     model = language.train_language_model(adapters.documents(spark, sf_dir))
@@ -453,8 +511,8 @@ def flagship_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).statistics
 
 
-def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that writes its five outputs, and how many rows each of the four tables reads back as."""
+def _notebook_run(spark: SparkSession, sf_dir: str) -> str:
+    """Run on conversations with the permissive thresholds, and where the outputs are."""
     path = new_path(spark, "notebook")
     run_pipeline_from_notebook(
         adapters.conv_log(spark, sf_dir),
@@ -465,6 +523,12 @@ def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         min_seo_similarity=0.3,
         min_unique_users=1,
     )
+    return path
+
+
+def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that writes its five outputs, and how many rows three of them read back as."""
+    path = _notebook_run(spark, sf_dir)
     metadata = files.read_json_dbfs(spark, f"{path}/cluster_metadata.json", schemas.CLUSTER_METADATA)
     return run_statistics(
         files.read_csv_dbfs(spark, f"{path}/filtered_queries.csv"),
@@ -473,6 +537,55 @@ def notebook_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def notebook_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five outputs of a run, read back and laid one below the other."""
+    path = _notebook_run(spark, sf_dir)
+
+    def shown(name: str, df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
+        cells = [F.col(c) if isinstance(c, str) else c for c in columns]
+        cells += [F.lit(None)] * (5 - len(cells))
+        named = [c.cast("string").alias(f"c{i}") for i, c in enumerate(cells)]
+        return df.select(F.lit(name).alias("output"), *named)
+
+    def topics() -> Column:
+        return joined(F.from_json("topics", "array<string>"))
+
+    metadata = files.read_json_dbfs(spark, f"{path}/cluster_metadata.json", schemas.CLUSTER_METADATA)
+    parts = [
+        shown(
+            "filtered_queries",
+            files.read_csv_dbfs(spark, f"{path}/filtered_queries.csv"),
+            ["query_id", "query", "user", topics()],
+        ),
+        shown(
+            "clustered_queries",
+            files.read_csv_dbfs(spark, f"{path}/clustered_queries.csv"),
+            ["query", "user", topics(), "cluster"],
+        ),
+        shown(
+            "cluster_metadata",
+            metadata,
+            [
+                "cluster_label",
+                "n_queries",
+                F.format_string("%.4f", "avg_similarity"),
+                "unique_users",
+                F.concat_ws("/", "topic", "most_central_query", "seo_candidate"),
+            ],
+        ),
+        shown(
+            "seo_queries",
+            files.read_csv_dbfs(spark, f"{path}/seo_queries.csv"),
+            ["cluster", "seo_query", "query_number", "cluster_size"],
+        ),
+        shown("cluster_report", spark.read.text(f"{path}/cluster_report.txt"), ["value"]),
+    ]
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.unionByName(more)
+    return rows
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -480,6 +593,8 @@ QUERIES: dict[str, Query] = {
         table_scan_whole,
         csv_round_trip,
         json_round_trip,
+        json_document,
+        csv_lines,
         table_round_trip,
         filter_documents,
         filter_conversations,
@@ -493,6 +608,7 @@ QUERIES: dict[str, Query] = {
         clean_text,
         parse_topic_lists,
         detect_languages,
+        detect_with_saved_model,
         language_counts,
         trigram_totals,
         profile_queries,
@@ -509,6 +625,8 @@ QUERIES: dict[str, Query] = {
         density_labels_with_epsilon,
         density_labels_in_blocks,
         density_labels_shifted,
+        density_labels_of_halves,
+        contained_failures,
         density_labels_with_outlier,
         capped_members,
         capped_out,
@@ -526,8 +644,10 @@ QUERIES: dict[str, Query] = {
         report_lines,
         sample_statistics,
         flagship,
+        flagship_one_topic,
         flagship_generated,
         flagship_statistics,
         notebook_outputs,
+        notebook_contents,
     )
 }
