@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from searchloom.llm.blocks import Block, blocks
+from searchloom.llm.pii_variants import ambiguous, plausible, respelt_window
 from searchloom.llm.tables import bounded_sample, id_text, text_batches
 from searchloom.llm.tagger import PAD, Tagger, codes, fit_tagger
 from searchloom.session import stage
@@ -27,13 +28,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 WINDOW, STRIDE, MARGIN = 64, 32, 24
-PER_KIND = 600  # windows of each kind, and without any, that the tagger is fitted on at most
-SURE = 0.9  # least mean chance of the labels of an added span
+PER_KIND = 400  # windows of each kind, and without any, that the tagger is fitted on at most
+SPELLINGS = 2  # further windows made of each, its personal data spelt in another way
+SURE = 0.8  # least mean chance of the labels of an added span
+PIECE, OVERLAP = 4096, 256  # longer stretches are decoded in pieces, which share so many characters
 
 _TRIGGER = np.zeros(256, bool)
 _TRIGGER[0x30:0x3A] = True
 _TRIGGER[ord("@")] = True
 
+# What may hang on to either end of a span and is no part of it.
+_EDGE = " \n\t,;:!?\"'<>"
+
 Span = tuple[int, int, int]  # kind, start, end
 
 
@@ -118,11 +124,15 @@ def _triggers(block: Block) -> np.ndarray:
     return np.diff(sums[block.offsets])
 
 
-def fit_personal(docs: DataFrame, per_kind: int = PER_KIND, epochs: int = 8) -> Tagger | None:
-    """Fit the tagger on windows of ``docs`` labelled by the fixed patterns.
+def fit_personal(
+    docs: DataFrame, per_kind: int = PER_KIND, epochs: int = 8, spellings: int = SPELLINGS
+) -> Tagger | None:
+    """Fit the tagger on windows of ``docs`` labelled by the fixed patterns, and on respelt ones.
 
     At most ``per_kind`` windows of each kind and as many without personal data, those of
-    the smallest hashes; that is all that reaches the driver.  None without any span.
+    the smallest hashes; that is all that reaches the driver.  Each labelled window comes in ``spellings``
+    other spellings too; windows without labels whose digits may be personal data teach nothing and are
+    left out.  None without any span.
     """
 
     def cut(batches):
@@ -150,23 +160,27 @@ def fit_personal(docs: DataFrame, per_kind: int = PER_KIND, epochs: int = 8) ->
     x, y, found = [], [], 0
     for kind in range(-1, len(KINDS)):
         rows = bounded_sample(windows.where(F.col("kind") == kind), F.xxhash64("x", "y"), per_kind).collect()
+        rows.sort(key=lambda r: (r["x"], r["y"]))
         found += len(rows) if kind >= 0 else 0
-        x += [np.frombuffer(r["x"], np.uint8) for r in rows]
-        y += [np.frombuffer(r["y"], np.uint8) for r in rows]
+        pairs = [[np.frombuffer(r[c], np.uint8).astype(np.int64) for c in "xy"] for r in rows]
+        pairs = [p for p in pairs if kind >= 0 or not ambiguous(p[0])]
+        draw = np.random.default_rng(kind + 2)
+        more = [respelt_window(*p, draw) for p in pairs for _ in range(spellings)] if kind >= 0 else []
+        pairs += [p for p in more if p is not None]
+        x += [p[0] for p in pairs]
+        y += [p[1] for p in pairs]
     if not found:
         return None
-    return fit_tagger(
-        np.stack(x).astype(np.int64), np.stack(y).astype(np.int64), 1 + 2 * len(KINDS), epochs=epochs
-    )
+    return fit_tagger(np.stack(x), np.stack(y), 1 + 2 * len(KINDS), epochs=epochs)
 
 
-def _plausible(kind: int, value: str) -> bool:
-    """What an added span must hold, whatever the tagger says."""
-    digits = len(_NOT_DIGIT.sub("", value))
-    if kind == 0:
-        name, _, host = value.partition("@")
-        return bool(name and host)
-    return digits >= (4, 12, 7)[kind - 1] and (kind != 1 or value.count(".") >= 3)
+def _pieces(start: int, end: int) -> list[tuple[int, int, int, int]]:
+    """A stretch in pieces, and which places of each count: the middle of what two share divides them."""
+    if end - start <= PIECE:
+        return [(start, end, start, end)]
+    begins = list(range(start, end - OVERLAP, PIECE - OVERLAP))
+    cuts = [start, *[b + OVERLAP // 2 for b in begins[1:]], end]
+    return [(b, min(b + PIECE, end), cuts[n], cuts[n + 1]) for n, b in enumerate(begins)]
 
 
 def tagged_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[list[Span]]:
@@ -174,28 +188,34 @@ def tagged_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[lis
 
     The windows of a stretch are scored apart; where they overlap their scores are
     averaged, the middle of a window counting most, and one best path is found over the
-    whole stretch, so spans do not end at windows.
+    whole stretch, so spans do not end at windows.  A stretch of more than ``PIECE`` characters is decoded
+    in pieces, and a span belongs to the piece in whose part it begins; so what is
+    held grows with pieces, not with the text, as long as a span is under half of ``OVERLAP``.
     """
     out: list[list[Span]] = [[] for _ in texts]
     todo = []
     for i, text in enumerate(texts):
         x = codes(text)
-        todo += [(i, a, *_windows(x, a, b), b) for a, b in _stretches(x)]
-    todo.sort(key=lambda s: s[4] - s[1])
+        todo += [(i, x, *piece) for a, b in _stretches(x) for piece in _pieces(a, b)]
+    todo.sort(key=lambda s: s[3] - s[2])
     weight = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
     at = 0
     while at < len(todo):
         part, rows = [], 0
-        while at < len(todo) and (not part or rows + len(todo[at][2]) <= batch):
-            part.append(todo[at])
-            rows += len(todo[at][2])
+        while at < len(todo):
+            i, x, a, b, low, high = todo[at]
+            cut, begin = _windows(x, a, b)
+            if part and rows + len(cut) > batch:
+                break
+            part.append((i, a, cut, begin, b, low, high))
+            rows += len(cut)
             at += 1
         windows = np.concatenate([p[2] for p in part])
         scores = np.concatenate([tagger.emissions(windows[i : i + batch]) for i in range(0, len(windows), batch)])
         lengths = np.array([p[4] - p[1] for p in part])
         joined = np.zeros((len(part), int(lengths.max()), tagger.labels))
         used = 0
-        for j, (_, start, _, begin, end) in enumerate(part):
+        for j, (_, start, _, begin, end, _, _) in enumerate(part):
             sums = np.zeros((end - start + WINDOW, tagger.labels))
             total = np.zeros(end - start + WINDOW)
             for b in begin.tolist():
@@ -205,8 +225,9 @@ def tagged_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[lis
             n = end - start
             joined[j, :n] = sums[:n] / total[:n, None]
         path, chance = tagger.decode(joined, lengths)
-        for j, (i, start, _, _, end) in enumerate(part):
-            out[i] += _read(path[j, : end - start], chance[j, : end - start], start, texts[i])
+        for j, (i, start, _, _, end, low, high) in enumerate(part):
+            spans = _read(path[j, : end - start], chance[j, : end - start], start, texts[i])
+            out[i] += [s for s in spans if low <= s[1] < high]
     return out
 
 
@@ -218,9 +239,13 @@ def _read(path: np.ndarray, chance: np.ndarray, start: int, text: str) -> list[S
         b = a + 1
         while b < len(path) and path[b] == 2 + 2 * kind[a]:
             b += 1
-        sure = float(chance[a:b].mean()) >= SURE
-        if sure and _plausible(int(kind[a]), text[start + a : start + b]):
-            spans.append((int(kind[a]), start + a, start + b))
+        if float(chance[a:b].mean()) < SURE:
+            continue
+        value = text[start + a : start + b]
+        left = len(value) - len(value.lstrip(_EDGE))
+        value = value.strip(_EDGE)
+        if plausible(int(kind[a]), value):
+            spans.append((int(kind[a]), start + a + left, start + a + left + len(value)))
     return spans
 
 
