@@ -21,6 +21,9 @@ SCAN = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}
 
 #: Runs of 16 or more that begin where no such run goes on.
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: Signs at which a run is cut further: those foreign to base64, to its form for addresses, and to both.
+CUTS = ("[_-]", "[+/]", "[+/_-]")
+LEAST_TOKEN = 16
 RANDOM = "random"
 KINDS = [k for k, *_ in BASE] + [RANDOM]
 
@@ -93,6 +96,46 @@ def _placed(found: DataFrame) -> DataFrame:
     )
 
 
+def _with_pieces(runs: DataFrame) -> DataFrame:
+    """Every run and its pieces between signs that may belong to no key, each as a token of its own.
+
+    A prefix or a path before a key, such as ``sk-``, has signs that the key's encoding lacks.
+    """
+    none = F.array().cast("array<struct<start:bigint,token:string>>")
+
+    def step(state: Column, piece: Column) -> Column:
+        one = F.struct(state["at"].alias("start"), piece.alias("token"))
+        after = (state["at"] + F.length(piece) + 1).cast("bigint")
+        return F.struct(after.alias("at"), F.array_append(state["done"], one).alias("done"))
+
+    def cut(sign: str) -> Column:
+        begin = F.struct(F.col("start").cast("bigint").alias("at"), none.alias("done"))
+        pieces = F.aggregate(F.split("whole", sign, -1), begin, step, lambda state: state["done"])
+        return F.when(F.rlike("whole", F.lit(sign)), pieces).otherwise(none)
+
+    itself = F.array(F.struct(F.col("start").cast("bigint").alias("start"), F.col("whole").alias("token")))
+    tokens = F.array_distinct(F.concat(itself, *[cut(sign) for sign in CUTS]))
+    long_enough = F.filter(tokens, lambda t: F.length(t["token"]) >= LEAST_TOKEN)
+    each = runs.select("row_no", "kind_no", F.col("start").alias("run"), F.explode(long_enough).alias("t"))
+    token = F.col("t.token")
+    return each.select(
+        "row_no",
+        "kind_no",
+        "run",
+        token.alias("whole"),
+        token.alias("part"),
+        (F.col("t.start") + F.length(token)).alias("end"),
+        F.col("t.start").alias("start"),
+    )
+
+
+def _outermost(found: DataFrame) -> DataFrame:
+    """Of the tokens found in one run those that lie in no other."""
+    earlier = Window.partitionBy("row_no", "run").orderBy("start", F.desc("end"))
+    reached = F.max("end").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    return found.withColumn("reached", reached).where(F.col("end") > F.coalesce("reached", F.lit(-1))).drop("reached")
+
+
 def _tail(z: Column) -> Column:
     """Share of a normal distribution above ``z``, by the logistic approximation."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(F.least(F.lit(1.5976) * z + F.lit(0.07056) * z * z * z, F.lit(700.0))))
@@ -236,8 +279,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for order, (_, _, _, length) in enumerate(BASE):
         least = F.when(F.col("kind_no") == order, length).otherwise(least)
     base = placed.where((F.col("kind_no") < len(BASE)) & (F.length("part") >= least))
-    tested = battery(placed.where(F.col("kind_no") == len(BASE)))
-    drawn = discoveries(stage(tested, "secret-tests"))
+    tested = battery(_with_pieces(placed.where(F.col("kind_no") == len(BASE))))
+    drawn = _outermost(discoveries(stage(tested, "secret-tests")))
     columns = ["row_no", "start", "kind_no", "end", "whole"]
     spans = base.select(*columns).unionByName(drawn.select(*columns))
     one = F.struct("start", "kind_no", "end", F.col("whole").alias("value"))
