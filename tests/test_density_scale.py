@@ -1,10 +1,17 @@
-"""What a task holds of a matrix of distances."""
+"""What a task holds of a matrix of distances, and how often a vector is sent."""
 
 import tracemalloc
+from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from test_density import TOPICS, cloud, found_sets, to_frame
 
+from bruteforce import clusters
+from searchloom.config import ClusterConfig
+from searchloom.operators.density import blocks, cluster_labels, labels
+from searchloom.operators.density.pivots import pivot_blocks
 from searchloom.operators.density.tiles import distances
 
 
@@ -23,3 +30,29 @@ def test_distances_hold_one_matrix(same):
     assert np.allclose(d[rows], ((x[rows, None] - other[None]) ** 2).sum(2), rtol=1e-9, atol=0)
     if same:
         assert (d == d.T).all() and not d.diagonal().any()
+
+
+def test_a_vector_is_sent_a_few_times_however_many_blocks(spark):
+    config = replace(ClusterConfig(), tile_rows=40)
+    ready = labels.prepare(to_frame(spark, {"t": cloud(3, 700, 2), "u": cloud(4, 100, 2)}), config)
+    placed, _, _ = pivot_blocks(ready.large)
+    grouped = blocks.with_groups(placed, ready.squares, 4, config)
+    assert grouped.where("topic = 't'").select("block").distinct().count() >= 18
+    sent = {r.topic: r.n / r.points for r in (
+        blocks.pair_up(grouped.select("topic", "rid", "group", "groups"), 4)
+        .groupBy("topic").agg(F.count("*").alias("n"), F.countDistinct("rid").alias("points")).collect()
+    )}
+    assert sent == {"t": 3, "u": 1}
+    tight = replace(config, block_bytes=100 * 16)
+    more = blocks.with_groups(placed, ready.squares, 4, tight).groupBy("topic", "group").count().collect()
+    assert len([r for r in more if r.topic == "t"]) == 7
+
+
+def test_groups_and_tiles_within_them_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "LEAST_SIDE", 7)
+    monkeypatch.setattr(blocks, "GROUP_ROWS", 25)
+    monkeypatch.setattr(blocks, "EDGES_HELD", 20)
+    topics = {k: TOPICS[k] for k in ("plain", "ties", "copies")}
+    found = found_sets(cluster_labels(to_frame(spark, topics), replace(ClusterConfig(), tile_rows=12))[0])
+    for topic, points in topics.items():
+        assert found.get(topic, set()) == clusters(points)[0], topic
