@@ -10,7 +10,7 @@ from test_density import TOPICS, cloud, found_sets, to_frame
 
 from bruteforce import clusters
 from searchloom.config import ClusterConfig
-from searchloom.operators.density import blocks, cluster_labels, labels
+from searchloom.operators.density import blocks, cluster_labels, components, labels
 from searchloom.operators.density.pivots import pivot_blocks
 from searchloom.operators.density.tiles import distances
 
@@ -56,3 +56,21 @@ def test_groups_and_tiles_within_them_change_nothing(spark, monkeypatch):
     found = found_sets(cluster_labels(to_frame(spark, topics), replace(ClusterConfig(), tile_rows=12))[0])
     for topic, points in topics.items():
         assert found.get(topic, set()) == clusters(points)[0], topic
+
+
+@pytest.mark.parametrize("most", [1, 3, 150])
+def test_components_within_tasks_and_by_stars(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "TASK_EDGES", most)
+    graphs = {"path": [(i, i + 1) for i in range(100, 0, -1)], "star": [(0, i) for i in range(1, 200)], "pair": [(9, 4)]}
+    rows = [(t, "<1", a, b) for t, g in graphs.items() for a, b in g] + [("pair", "<1", 3, 3), ("pair", "<2", 8, 9)]
+    jobs = []
+    monkeypatch.setattr(components, "_starred", lambda *a, own=components._starred: jobs.append(1) or own(*a))
+    edges = spark.createDataFrame(rows, "topic string, part string, a bigint, b bigint")
+    found = components.connected_components(edges, ["topic", "part"]).collect()
+    expected = {("path", "<1", i): 1 for i in range(1, 102)} | {("star", "<1", i): 0 for i in range(200)}
+    expected |= {("pair", "<1", 4): 4, ("pair", "<1", 9): 4, ("pair", "<2", 8): 8, ("pair", "<2", 9): 8}
+    assert {(r.topic, r.part, r.node): r.root for r in found} == expected and len(found) == len(expected)
+    assert len(jobs) == 1
+    monkeypatch.setattr(components, "TASK_EDGES", 1000)
+    again = components.connected_components(edges, ["topic", "part"]).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found)) and len(jobs) == 1
