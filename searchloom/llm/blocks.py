@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
+SMALL_BLOCK_BYTES = 1 << 18  # where what is made of a block is a hundred times its size
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

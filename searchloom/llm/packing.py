@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from searchloom.llm.blocks import blocks
+from searchloom.llm.blocks import SMALL_BLOCK_BYTES, blocks
 from searchloom.llm.tables import id_text, numbered
 from searchloom.llm.tokens import tokenizer
 from searchloom.session import stage
@@ -38,7 +38,7 @@ def token_pieces(
         tokens = tokenizer(path)
         for batch in batches:
             row, start, crc, length = [], [], [], []
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), SMALL_BLOCK_BYTES):
                 for i, ids in enumerate(tokens.encode(block)):
                     ids = np.append(ids, end_id).astype("<u4")
                     for at in range(0, len(ids), capacity):

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from searchloom.llm.blocks import blocks
+from searchloom.llm.blocks import SMALL_BLOCK_BYTES, blocks
 from searchloom.llm.network import Network, fit_network
 from searchloom.llm.random_index import context_sums, pooled, word_vectors
 from searchloom.llm.tables import bounded_sample, id_text, text_batches
@@ -46,7 +46,8 @@ class QualityModel:
         self.vectors, self.network = vectors, network
 
     def score_column(self, column: pa.Array) -> np.ndarray:
-        scores = [self.network.score(pooled(b, self.vectors).astype(np.float64)) for b in blocks(column)]
+        parts = blocks(column, SMALL_BLOCK_BYTES)
+        scores = [self.network.score(pooled(b, self.vectors).astype(np.float64)) for b in parts]
         return np.concatenate(scores) if scores else np.zeros(0)
 
 
@@ -65,7 +66,7 @@ def fit_quality(
 
     def pool(batches):
         for batch in batches:
-            means = [pooled(b, vectors) for b in blocks(batch.column(2))]
+            means = [pooled(b, vectors) for b in blocks(batch.column(2), SMALL_BLOCK_BYTES)]
             flat = np.concatenate(means) if means else np.zeros((0, 2 * vectors.shape[1] + 1), np.float32)
             offsets = np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]
             values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from searchloom.llm.blocks import BYTE_VALUES, Block, blocks, mix, span_hashes
+from searchloom.llm.blocks import BYTE_VALUES, SMALL_BLOCK_BYTES, Block, blocks, mix, span_hashes
 
 BUCKETS = 4096
 DIM = 32
@@ -78,7 +78,7 @@ def context_sums(docs: DataFrame, buckets: int = BUCKETS, dim: int = DIM) -> np.
                 sums.__iadd__(np.bincount(index, signs[met, i], len(sums)))
 
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), SMALL_BLOCK_BYTES):
                 u = Units(block, buckets)
                 for back in range(1, REACH + 1):
                     same = np.flatnonzero(u.row[back:] == u.row[:-back])

@@ -39,7 +39,7 @@ WORD_RULES = {
     "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
 }
 
-MOST_KNOWN = 2_000_000
+MOST_KNOWN = 300_000  # some 30 MB, kept as long as a worker lives
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
